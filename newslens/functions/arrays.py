@@ -33,14 +33,19 @@ def add_arrays(a: Column | str, b: Column | str) -> Column:
     return F.zip_with(_col(a), _col(b), lambda x, y: x + y)
 
 
-def bin_counts(bin_col: Column | str, bins: int) -> list[Column]:
-    """One counting aggregate per bin: a histogram without any array in the shuffle."""
-    return [F.count_if(_col(bin_col) == i) for i in range(bins)]
+def bin_counts(widths: dict[str, int], *more: str) -> Column:
+    """Aggregate: for each bin column one count per bin, then `more`, packed as one array.
 
+    Each count is an aggregate of its own, so no array takes part in the shuffle. Stated as SQL
+    text, which the JVM parses in one call.
+    """
+    counts = [f"count_if({name} = {i})" for name, width in widths.items() for i in range(width)]
+    return F.expr(f"array({', '.join([*counts, *more])})")
 
-def sum_arrays(values: Column | str, width: int) -> Column:
+
+def sum_arrays(values: str, width: int) -> Column:
     """Aggregate: element-wise total of a group's arrays of `width` integers."""
-    return F.array(*[F.sum(_col(values)[i]) for i in range(width)])
+    return F.expr(f"array({', '.join(f'sum({values}[{i}])' for i in range(width))})")
 
 
 def spread_array(values: Column | str, width: int, prefix: str) -> Iterable[Column]:

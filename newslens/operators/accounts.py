@@ -68,3 +68,10 @@ def binned_users(users: DataFrame, activity: str = "compat") -> DataFrame:
     return with_user_bins(dedupe_users(users).withColumns(_zero_filled()), activity).select(
         F.col("tweetid").alias("tweet_id"), "verified", "ratio_bin", "activity_bin"
     )
+
+
+def tagged_ids(posts: DataFrame, users: DataFrame) -> DataFrame:
+    """Bag union of the post ids on both sides, each tagged with the side it comes from."""
+    news = posts.select(F.lit("news").alias("source"), "tweet_id")
+    known = users.select(F.lit("users").alias("source"), F.col("tweetid").alias("tweet_id"))
+    return news.unionByName(known)

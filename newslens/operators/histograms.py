@@ -21,9 +21,7 @@ def sentiment_groups(binned: DataFrame) -> DataFrame:
 
 def text_bins() -> Column:
     """Aggregate: 6 sentiment counts, then 6 subjectivity counts."""
-    return F.array(
-        *bin_counts("sentiment_bin", C.TEXT_BINS), *bin_counts("subjectivity_bin", C.TEXT_BINS)
-    )
+    return bin_counts({"sentiment_bin": C.TEXT_BINS, "subjectivity_bin": C.TEXT_BINS})
 
 
 def text_histogram(binned: DataFrame) -> DataFrame:
@@ -45,19 +43,20 @@ def user_groups(binned: DataFrame) -> DataFrame:
                           "ratio_bin", "activity_bin").agg(F.count("*").alias("posts"))
 
 
-def verified_groups() -> Column:
+def _verified_groups() -> str:
     """Aggregate: number of distinct (ratio bin, activity bin) pairs among verified authors.
 
     The 11 x 11 possible pairs are bits of two words, so the distinct count needs neither a
     second shuffle nor a set per link.
     """
-    pair = F.col("ratio_bin") * C.USER_BINS + F.col("activity_bin")
-    words = []
-    for start in (0, 64):
-        here = F.col("verified") & (pair >= start) & (pair < start + 64)
-        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), pair - start)
-        words.append(F.coalesce(F.bit_count(F.bit_or(F.when(here, bit))), F.lit(0)))
-    return (words[0] + words[1]).cast("bigint")
+    pair = f"(ratio_bin * {C.USER_BINS} + activity_bin)"
+
+    def word(start: int) -> str:
+        here = f"verified AND {pair} >= {start} AND {pair} < {start + 64}"
+        bit = f"shiftleft(1L, {pair} - {start})"
+        return f"coalesce(bit_count(bit_or(CASE WHEN {here} THEN {bit} END)), 0)"
+
+    return f"CAST({word(0)} + {word(64)} AS BIGINT)"
 
 
 def user_bins(verified: str = "groups") -> Column:
@@ -68,10 +67,8 @@ def user_bins(verified: str = "groups") -> Column:
     """
     if verified not in VERIFIED_MODES:
         raise ValueError(f"verified must be one of {VERIFIED_MODES}, not {verified!r}")
-    slot = verified_groups() if verified == "groups" else F.count_if("verified")
-    return F.array(
-        *bin_counts("ratio_bin", C.USER_BINS), *bin_counts("activity_bin", C.USER_BINS), slot
-    )
+    slot = _verified_groups() if verified == "groups" else "count_if(verified)"
+    return bin_counts({"ratio_bin": C.USER_BINS, "activity_bin": C.USER_BINS}, slot)
 
 
 def user_histogram(binned: DataFrame, verified: str = "groups") -> DataFrame:

@@ -11,7 +11,7 @@ from newslens.functions.text import (
     subjectivity_bin,
     words,
 )
-from newslens.operators.skew import spread_join
+from newslens.operators.skew import fits_broadcast, spread_join
 
 
 def score_sentiment(posts: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
@@ -35,11 +35,19 @@ def score_sentiment(posts: DataFrame, lexicon: DataFrame, keys: list[str]) -> Da
         F.lit(0).alias("sub"),
         F.lit(0).alias("weight"),
     )
-    matched = spread_join(found, weighed.unionByName(no_word), "word", keys)
+    known = weighed.unionByName(no_word)
+    times = F.lit(1)
+    if not fits_broadcast(known):
+        # The words shuffle too: first repeats within a text, and of whole posts, are counted.
+        found = found.groupBy(*keys, "word").agg(F.count("*").alias("times"))
+        times = F.col("times")
+    matched = spread_join(found, known, "word", keys)
     return (
         matched.groupBy(*keys)
         .agg(
-            F.sum("pol").alias("pol"), F.sum("sub").alias("sub"), F.sum("weight").alias("matches")
+            F.sum(F.col("pol") * times).alias("pol"),
+            F.sum(F.col("sub") * times).alias("sub"),
+            F.sum(F.col("weight") * times).alias("matches"),
         )
         .select(
             *keys,

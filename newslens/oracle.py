@@ -201,9 +201,8 @@ pairs AS (
            AS distance
   FROM vectors q JOIN vectors t ON q.is_test AND NOT t.is_test),
 nearest AS (
-  SELECT vec_id, any_value(label) AS label,
-         arg_min(near_label, {{'distance': distance, 'id': near_id}}) AS prediction
-  FROM pairs GROUP BY vec_id)
+  SELECT vec_id, label, near_label AS prediction FROM pairs
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, near_id) = 1)
 """
 
 
@@ -217,6 +216,46 @@ ALL_FEATURES = (RAW_POSTS, USERS, DEDUPED_POSTS, SCORES, DEDUPED_USERS, JOINED,
 PARITY_COLUMNS = "link, " + ", ".join(_VECTOR_ITEMS)
 
 
+# Gaussian naive Bayes over the 36 features: mean and variance per class, every variance raised
+# by 1e-9 of the largest feature variance, then the class of the highest log-likelihood.
+GAUSSIAN = f"""
+sides AS (SELECT link, label, {VECTOR_LIST} AS x, {IS_TEST.format(key="link")} AS is_test
+          FROM labeled),
+items AS (SELECT link, label, is_test, unnest(range(36)) AS j,
+                 CAST(unnest(x) AS DOUBLE) AS v FROM sides),
+spread AS (SELECT max(var) AS widest FROM (
+  SELECT avg(v * v) - avg(v) * avg(v) AS var FROM items WHERE NOT is_test GROUP BY j)),
+params AS (
+  SELECT label, j, avg(v) AS mean, avg(v * v) - avg(v) * avg(v) + 1e-9 * any_value(widest) AS var
+  FROM items, spread WHERE NOT is_test GROUP BY label, j),
+priors AS (
+  SELECT label, ln(count(*)) - ln(sum(count(*)) OVER ()) AS prior
+  FROM sides WHERE NOT is_test GROUP BY label),
+likelihoods AS (
+  SELECT i.link, i.label, p.label AS class,
+         any_value(r.prior) - sum(ln(p.var)) / 2 - sum((i.v - p.mean) ** 2 / p.var) / 2 AS ll
+  FROM items i JOIN params p ON p.j = i.j JOIN priors r ON r.label = p.label
+  WHERE i.is_test GROUP BY 1, 2, 3),
+gaussian AS (
+  SELECT link, label, arg_max(class, ll) AS prediction FROM likelihoods GROUP BY 1, 2)
+"""
+
+# Nearest labelled link by squared distance, the smaller link on ties; repeats of a vector
+# cannot matter, as the smallest link among them wins either way.
+NEAREST_LINK = f"""
+sides AS (SELECT link, label, {VECTOR_LIST} AS x, {IS_TEST.format(key="link")} AS is_test
+          FROM labeled),
+link_pairs AS (
+  SELECT q.link, q.label, t.link AS near_link, t.label AS near_label,
+         list_sum(list_transform(list_zip(q.x, t.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))
+           AS distance
+  FROM sides q JOIN sides t ON q.is_test AND NOT t.is_test),
+nearest_link AS (
+  SELECT link, label, near_label AS prediction FROM link_pairs
+  QUALIFY row_number() OVER (PARTITION BY link ORDER BY distance, near_link) = 1)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "clean_text": "SELECT doc_id, " + CLEAN.format(text="text") + " AS clean FROM documents",
@@ -292,4 +331,108 @@ def oracle_sql() -> dict[str, str]:
             select=f"""SELECT split_part(link, '/', 3) AS host, {TEXT_COLUMNS}
               FROM binned GROUP BY 1""",
         ),
+        "posts_for_links": _with(
+            RAW_POSTS,
+            LABELS,
+            select="""SELECT * FROM posts WHERE link IN (
+              SELECT news_url FROM news_labels WHERE credibility = 'fake')""",
+        ),
+        "lookup_users": _with(
+            RAW_POSTS,
+            STATUS_USERS,
+            select="SELECT * FROM status_users WHERE tweetid IN (SELECT tweet_id FROM posts)",
+        ),
+        "flatten_status": _with(
+            STATUS_USERS,
+            select="""SELECT CAST(e.event_id AS VARCHAR) AS tweetid, s.* EXCLUDE (tweetid)
+              FROM event_users e LEFT JOIN status_users s
+                ON s.tweetid = CAST(e.event_id AS VARCHAR)""",
+        ),
+        "account_age": _with(
+            EVENT_USERS,
+            select="""SELECT CAST(event_id AS VARCHAR) AS tweetid,
+              CAST(floor((epoch(TIMESTAMP '2024-02-01 00:00:00')
+                - epoch(date_trunc('second', ts))) / 86400) AS BIGINT) AS account_age
+              FROM event_users WHERE has_user""",
+        ),
+        "parse_int_list": _with(
+            *POSTS_TO_BINS, select=f"SELECT link, {TEXT_COLUMNS} FROM binned GROUP BY link"
+        ),
+        "csv_posts_roundtrip": _with(
+            RAW_POSTS,
+            select=f"""SELECT * REPLACE ({CLEAN.format(text="text")} AS text,
+              strftime(date, '%Y-%m-%d %H:%M:%S.%f') AS date) FROM raw_posts""",
+        ),
+        "csv_users_roundtrip": _with(STATUS_USERS, select="SELECT * FROM status_users"),
+        "csv_features_roundtrip": _with(
+            *ALL_FEATURES, select=f"SELECT {PARITY_COLUMNS} FROM vectors"
+        ),
+        "labels_scan": _with(
+            LABELS,
+            select="""SELECT news_url, coalesce(credibility, 'nan') AS credibility
+              FROM news_labels""",
+        ),
+        "text_scan": """SELECT
+            CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS lines,
+            CAST(sum(length(replace(text, chr(10), ''))) AS BIGINT) AS chars FROM documents""",
+        "union_sources": _with(
+            RAW_POSTS,
+            USERS,
+            select="""SELECT source, tweet_id, CAST(count(*) AS BIGINT) AS n FROM (
+              SELECT 'news' AS source, tweet_id FROM posts
+              UNION ALL SELECT 'users', tweetid FROM repeated_users) GROUP BY 1, 2""",
+        ),
+        "labeled_features": _with(
+            *ALL_FEATURES, LABELED, select=f"SELECT {PARITY_COLUMNS}, label FROM labeled"
+        ),
+        "stratified_split": _with(
+            *ALL_FEATURES,
+            LABELED,
+            select=f"SELECT link, label, {IS_TEST.format(key='link')} AS is_test FROM labeled",
+        ),
+        "stratified_split_exact": _with(
+            *ALL_FEATURES,
+            LABELED,
+            select=f"""SELECT link, label,
+              row_number() OVER (PARTITION BY label ORDER BY {HASH.format(key='link')}, link)
+                <= round(count(*) OVER (PARTITION BY label) * 0.2) AS is_test FROM labeled""",
+        ),
+        "training_cap": _with(
+            *ALL_FEATURES,
+            LABELED,
+            select=f"""SELECT link, label FROM labeled
+              ORDER BY {HASH.format(key='link')}, link LIMIT 100""",
+        ),
+        "knn_1": _with(KNN, select="SELECT vec_id, label, prediction FROM nearest"),
+        "model_accuracy": _with(
+            KNN,
+            select="""SELECT 'knn' AS model, avg(CAST(prediction = label AS DOUBLE)) AS accuracy
+              FROM nearest""",
+        ),
+        "majority_vote": _with(PREDICTIONS, select="SELECT * FROM verdicts"),
+        "verdict": _with(
+            PREDICTIONS,
+            select="""SELECT v.*, m.* EXCLUDE (link) FROM verdicts v JOIN (
+              SELECT link,
+                max(prediction) FILTER (WHERE model = 'knn') AS knn,
+                max(prediction) FILTER (WHERE model = 'lr') AS lr,
+                max(prediction) FILTER (WHERE model = 'decisionTree') AS decisionTree,
+                max(prediction) FILTER (WHERE model = 'randomForest') AS randomForest,
+                max(prediction) FILTER (WHERE model = 'naiveBayes') AS naiveBayes,
+                max(prediction) FILTER (WHERE model = 'xgb') AS xgb
+              FROM predictions GROUP BY link) m ON m.link = v.link""",
+        ),
+        "predict_gaussian_nb": _with(
+            *ALL_FEATURES, LABELED, GAUSSIAN, select="SELECT * FROM gaussian"
+        ),
+        "predict_knn": _with(
+            *ALL_FEATURES, LABELED, NEAREST_LINK, select="SELECT * FROM nearest_link"
+        ),
+        "hold_out_accuracy": _with(
+            *ALL_FEATURES,
+            LABELED,
+            GAUSSIAN,
+            select="""SELECT 'naiveBayes' AS model,
+              avg(CAST(prediction = label AS DOUBLE)) AS accuracy FROM gaussian""",
+        ),
     }

@@ -9,14 +9,36 @@ from pyspark.sql import functions as F
 
 from newslens import constants as C
 from newslens import fixtures as X
-from newslens.functions.arrays import spread_array
+from newslens.functions.arrays import parse_int_list, print_int_list, spread_array
 from newslens.functions.text import clean_text
 from newslens.operators import accounts as A
 from newslens.operators import histograms as H
+from newslens.operators.accounts import tagged_ids
 from newslens.operators.dedupe import dedupe_posts, dedupe_users
+from newslens.operators.labels import label_features
+from newslens.operators.nearest import fit_nearest
+from newslens.operators.sampling import cap_rows, stratified_split
 from newslens.operators.sentiment import score_sentiment, with_sentiment_bins
+from newslens.operators.votes import majority_vote, model_accuracy, verdict
 from newslens.plans.features import assemble, link_features, scored_posts
-from newslens.sources.tables import prepare_posts, prepare_users
+from newslens.plans.scoring import score_links
+from newslens.plans.training import ModelSet, accuracy_table, fit_models, predict_all
+from newslens.session import fresh_path, written
+from newslens.sources.lookups import (
+    flatten_status,
+    lookup_statuses,
+    posts_for_links,
+    statuses_with_user,
+)
+from newslens.sources.readers import (
+    read_features,
+    read_labels,
+    read_lines,
+    read_posts,
+    read_users,
+)
+from newslens.sources.tables import prepare_posts, prepare_users, with_account_age
+from newslens.sources.writers import write_features, write_posts, write_users
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,17 +120,23 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [
-        *[f"text_{i}" for i in range(C.TEXT_WIDTH)],
-        *[f"user_{i}" for i in range(C.USER_WIDTH)],
-        "retweets",
-    ]
-    return assemble(features(spark, sf_dir)).select(
-        "link", *[F.col("features")[i].alias(name) for i, name in enumerate(parts)]
+_PARTS = [
+    *[f"text_{i}" for i in range(C.TEXT_WIDTH)],
+    *[f"user_{i}" for i in range(C.USER_WIDTH)],
+    "retweets",
+]
+
+
+def _flat_vectors(rows: DataFrame) -> DataFrame:
+    return assemble(rows).select(
+        "link", *[F.col("features")[i].alias(name) for i, name in enumerate(_PARTS)]
     )
 
 
+def _feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat_vectors(features(spark, sf_dir))
+
+
 def _merge_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_link = H.text_histogram(_scored(spark, sf_dir)).withColumn(
         "host", F.split_part("link", F.lit("/"), F.lit(3))
@@ -117,6 +145,174 @@ def _merge_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("host", *spread_array("textFeatures", C.TEXT_WIDTH, "text"))
 
 
+def _posts_for_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = X.labels(spark, sf_dir).where("credibility = 'fake'")
+    return posts_for_links(
+        X.posts(spark, sf_dir), wanted.select(F.col("news_url").alias("link"))
+    )
+
+
+def _lookup_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = X.posts(spark, sf_dir).select(F.col("tweet_id").cast("bigint"))
+    return lookup_statuses(X.statuses(spark, sf_dir), ids)
+
+
+def _account_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    snapshots = statuses_with_user(X.statuses(spark, sf_dir))
+    as_of = F.lit(X.AS_OF).cast("timestamp")
+    return with_account_age(snapshots, as_of).select("tweetid", "account_age")
+
+
+def _parse_int_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    printed = H.text_histogram(_scored(spark, sf_dir)).select(
+        "link", print_int_list("textFeatures").alias("printed")
+    )
+    parsed = printed.select("link", parse_int_list("printed").alias("parsed"))
+    return parsed.select("link", *spread_array("parsed", C.TEXT_WIDTH, "text"))
+
+
+def _csv_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "posts-csv")
+    write_posts(X.raw_posts(spark, sf_dir), path)
+    return read_posts(spark, f"{path}/*.csv").withColumn(
+        "date", F.date_format("date", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    )
+
+
+def _csv_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "users-csv")
+    write_users(statuses_with_user(X.statuses(spark, sf_dir)), path)
+    return read_users(spark, f"{path}/*.csv")
+
+
+def _csv_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "features-csv")
+    write_features(features(spark, sf_dir), path)
+    return _flat_vectors(read_features(spark, f"{path}/*.csv"))
+
+
+def _labels_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "labels-csv")
+    wide = X.labels(spark, sf_dir).select(
+        F.lit("not read").alias("title"), "credibility", "news_url"
+    )
+    wide.write.option("header", True).csv(path)
+    return read_labels(spark, f"{path}/*.csv", keep_missing=True)
+
+
+def _text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "lines")
+    X.table(spark, sf_dir, "documents").select("text").write.text(path)
+    return read_lines(spark, path, min_partitions=16).agg(
+        F.count("*").alias("lines"), F.sum(F.length("value")).alias("chars")
+    )
+
+
+def _union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tagged = tagged_ids(X.posts(spark, sf_dir), X.repeated_users(spark, sf_dir))
+    return tagged.groupBy("source", "tweet_id").agg(F.count("*").alias("n"))
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return label_features(assemble(features(spark, sf_dir)), X.labels(spark, sf_dir))
+
+
+def _labeled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _labelled(spark, sf_dir).select(
+        "link", "label", *[F.col("features")[i].alias(name) for i, name in enumerate(_PARTS)]
+    )
+
+
+def _training_set(spark: SparkSession, sf_dir: str, exact: bool = False) -> DataFrame:
+    """The labelled vectors with their side of the split, written once per session and folder."""
+    held = _held(spark, sf_dir)
+    if "labelled" not in held:
+        held["labelled"] = written(_labelled(spark, sf_dir), "labelled")
+    return stratified_split(held["labelled"], exact=exact)
+
+
+def _training_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_rows(_training_set(spark, sf_dir), 100).select("link", "label")
+
+
+_session_held: dict[tuple[str, str], dict] = {}
+
+
+def _held(spark: SparkSession, sf_dir: str) -> dict:
+    return _session_held.setdefault((spark.sparkContext.applicationId, sf_dir), {})
+
+
+def _models(spark: SparkSession, sf_dir: str, voters: tuple[str, ...]) -> ModelSet:
+    """Models are fitted once per session and folder, as a long-lived scoring service would."""
+    held = _held(spark, sf_dir).setdefault("models", {})
+    missing = [v for v in voters if v not in held]
+    if missing:
+        train = _training_set(spark, sf_dir).where(~F.col("is_test"))
+        new = fit_models(train, missing)
+        held.update({v: (new.labels, new.fitted[v]) for v in missing})
+    return ModelSet(held[voters[0]][0], {v: held[v][1] for v in voters})
+
+
+def _test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _training_set(spark, sf_dir).where("is_test").drop("is_test")
+
+
+def _predictions(*voters: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        models = _models(spark, sf_dir, voters)
+        found = predict_all(models, _test_rows(spark, sf_dir))
+        return found if len(voters) > 1 else found.drop("model")
+
+    return query
+
+
+def _hold_out_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One model's accuracy on the held-out rows."""
+    models = _models(spark, sf_dir, ("naiveBayes",))
+    return model_accuracy(predict_all(models, _test_rows(spark, sf_dir)))
+
+
+def _accuracy_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    models = _models(spark, sf_dir, C.VOTERS)
+    return accuracy_table(models, _test_rows(spark, sf_dir))
+
+
+def _score_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all links, trained on the labelled ones."""
+    models = _models(spark, sf_dir, C.VOTERS)
+    scored = score_links(
+        X.posts(spark, sf_dir), X.repeated_users(spark, sf_dir), X.lexicon(spark), models
+    )
+    return _flat_verdict(scored)
+
+
+def _flat_verdict(verdicts: DataFrame) -> DataFrame:
+    reported = [m for m in C.VOTERS if m not in C.UNREPORTED]
+    return verdicts.select(
+        "link", "credibility", "fake_votes", "real_votes",
+        *[F.element_at("model_result", m).alias(m) for m in reported],
+    )
+
+
+def _knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stratified_split(
+        X.table(spark, sf_dir, "embeddings").select(
+            "vec_id",
+            F.col("embedding").cast("array<double>").alias("features"),
+            F.col("label").cast("string").alias("label"),
+        ),
+        key="vec_id",
+    )
+    model = fit_nearest(rows.where(~F.col("is_test")), key="vec_id")
+    return model.predict(rows.where("is_test"), key="vec_id").select(
+        "vec_id", "label", "prediction"
+    )
+
+
+def _model_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model_accuracy(_knn(spark, sf_dir).withColumn("model", F.lit("knn")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "clean_text": _text,
@@ -138,4 +334,34 @@ def queries() -> dict[str, Query]:
         "verified_share": _verified_share,
         "feature_vector": _feature_vector,
         "merge_arrays": _merge_arrays,
+        "posts_for_links": _posts_for_links,
+        "lookup_users": _lookup_users,
+        "flatten_status": lambda s, d: flatten_status(X.statuses(s, d)),
+        "account_age": _account_age,
+        "parse_int_list": _parse_int_list,
+        "csv_posts_roundtrip": _csv_posts,
+        "csv_users_roundtrip": _csv_users,
+        "csv_features_roundtrip": _csv_features,
+        "labels_scan": _labels_scan,
+        "text_scan": _text_scan,
+        "union_sources": _union_sources,
+        "labeled_features": _labeled_features,
+        "stratified_split": lambda s, d: _training_set(s, d).drop("features"),
+        "stratified_split_exact": lambda s, d: _training_set(s, d, True).drop("features"),
+        "training_cap": _training_cap,
+        "knn_1": _knn,
+        "model_accuracy": _model_accuracy,
+        "majority_vote": lambda s, d: majority_vote(X.predictions(s, d)),
+        "verdict": lambda s, d: _flat_verdict(verdict(X.predictions(s, d))),
+        "predict_gaussian_nb": _predictions("naiveBayes"),
+        "hold_out_accuracy": _hold_out_accuracy,
+        "predict_knn": _predictions("knn"),
+        "predict_tree": _predictions("decisionTree"),
+        "predict_forest": _predictions("randomForest"),
+        "predict_logistic": _predictions("lr"),
+        "predict_linear_svc": _predictions("sgd"),
+        "predict_gbt": _predictions("xgb"),
+        "all_predictions": _predictions(*C.VOTERS),
+        "accuracy_table": _accuracy_table,
+        "score_links": _score_links,
     }

@@ -23,6 +23,7 @@ def local_session(cores: int | str = "*", app: str = "newslens", **conf: str) ->
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
