@@ -10,11 +10,14 @@ from newslens import constants as C
 # Every pattern meets lower-cased text. Three forms of one rule, from cheap to complete; which
 # one a text needs is decided by two plain substring tests.
 _MARKS = "[^0-9a-z]+"
-_MENTIONS_AND_MARKS = rf"{C.MENTION}|{_MARKS}"
-# Java's \w and \S cover Unicode only under (?U). A URL is looked for only at the start of a
-# run of plain characters: if it does not match there it matches nowhere later in that run,
-# so a long unbroken run costs one attempt, not one per character.
-_ALL_NOISE = rf"{C.MENTION}|{C.NOT_PLAIN}|(?<![0-9A-Za-z])(?U:{C.URL})"
+_MENTIONS_AND_MARKS = rf"{C.MENTION}|@|[^0-9a-z@]+"
+# The URL rule is stated for Unicode text, where \w is a letter, a number or `_` and \S is
+# anything but white space; Java's own classes differ (its \w includes combining marks). It is
+# tried only at the start of a run of plain characters: if it does not match there it matches
+# nowhere later in that run, so a long unbroken run costs one attempt, not one per character.
+_WORD, _SOLID = r"[0-9a-z_\p{L}\p{N}]", r"[^\p{IsWhite_Space}\x{1c}-\x{1f}]"
+_URL = C.URL.replace(r"\w+", f"{_WORD}++").replace(r"\S+", f"{_SOLID}++")
+_ALL_NOISE = rf"{C.MENTION}|{C.NOT_PLAIN}|(?<![0-9A-Za-z]){_URL}"
 
 
 def _col(c: Column | str) -> Column:

@@ -173,7 +173,7 @@ class NearestNeighbour:
         def compare(rows_part: pd.DataFrame, queries_part: pd.DataFrame) -> pd.DataFrame:
             names = ["features", "squared", "id", "label"]
             if rows_part.empty or queries_part.empty:
-                return pd.DataFrame({name: [] for name in names})
+                return pd.DataFrame({name: [] for name in names}, dtype=object)
             rows_part = rows_part.sort_values("id")
             index, squared = _nearest_rows(
                 _matrix(queries_part["features"]), _matrix(rows_part["features"])
