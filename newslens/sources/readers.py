@@ -10,7 +10,10 @@ from newslens import constants as C
 from newslens.functions.arrays import parse_int_list
 from newslens.schemas import POST_SCHEMA, USER_SCHEMA
 
-_BOM = "﻿"
+_BOM = "\ufeff"
+# Stands for a missing value while a line is parsed; no text holds it. With it, an empty field is
+# null and a quoted empty one is an empty text, as the writers have them.
+_MISSING = "\u0000"
 
 
 def _csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -19,6 +22,7 @@ def _csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
         spark.read.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("nullValue", _MISSING)
         .option("multiLine", multi_line)
         .csv(path)
     )
@@ -71,8 +75,8 @@ def read_labels(
 ) -> DataFrame:
     """(news_url, credibility) as text. Rows without a label are dropped, or kept as `nan`."""
     scan = _csv(spark, path, multi_line).select(
-        F.col("news_url").cast("string").alias("news_url"),
-        F.col("credibility").cast("string").alias("credibility"),
+        F.nullif(F.col("news_url"), F.lit("")).alias("news_url"),
+        F.nullif(F.col("credibility"), F.lit("")).alias("credibility"),
     )
     if keep_missing:
         return scan.fillna(C.MISSING_LABEL, ["news_url", "credibility"])
