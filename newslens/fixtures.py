@@ -20,8 +20,21 @@ VOTER_FACTORS = {
 }
 
 
+# The columns used, stated so that opening a table reads no file.
+TABLES = {
+    "documents": "doc_id bigint, text string, lang string, source string",
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+        "value double, props string"
+    ),
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "labels": "doc_id bigint, quality int",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

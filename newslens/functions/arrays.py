@@ -39,7 +39,11 @@ def bin_counts(widths: dict[str, int], *more: str) -> Column:
     Each count is an aggregate of its own, so no array takes part in the shuffle. Stated as SQL
     text, which the JVM parses in one call.
     """
-    counts = [f"count_if({name} = {i})" for name, width in widths.items() for i in range(width)]
+    counts = [
+        f"count(CASE WHEN {name} = {i} THEN 1 END)"
+        for name, width in widths.items()
+        for i in range(width)
+    ]
     return F.expr(f"array({', '.join([*counts, *more])})")
 
 

@@ -16,6 +16,7 @@ from newslens import constants as C
 _BUCKET_BITS = 16
 # Strata are the classes of a classifier; this many at most come to the driver.
 MAX_STRATA = 1000
+_CONTENT = "_content"
 
 
 def key_hash(key: Column | str, seed: int = C.SEED) -> Column:
@@ -82,7 +83,8 @@ def _position(key: str, seed: int) -> Column:
 
 
 def _at(cut: _Cut) -> Column:
-    return F.struct(F.lit(cut.last_hash).cast("bigint").alias("hash"), F.lit(cut.last_key).alias("key"))
+    last_hash = F.lit(cut.last_hash).cast("bigint")
+    return F.struct(last_hash.alias("hash"), F.lit(cut.last_key).alias("key"))
 
 
 def stratified_split(
@@ -119,16 +121,13 @@ def cap_rows(
     position, at, left = _position(key, seed), _at(cut), n - cut.rows_before
     if cut.rows_at <= left:
         return df.where(position <= at)
-    # The last key has more rows than are left to take: equal ones are counted, then told off.
-    ordered = Window.partitionBy(key).orderBy(*df.columns)
-    upto = F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    some = (
-        df.where(position == at)
-        .groupBy(*df.columns)
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_taken", F.least(F.col("_n"), F.lit(left) - (upto - F.col("_n"))))
-        .where(F.col("_taken") > 0)
-        .withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_taken").cast("int"))))
-        .select(*df.columns)
-    )
+    # The last key has more rows than are left to take: its rows are put in order by content.
+    at_key = df.where(position == at)
+    if key == _CONTENT:
+        # Rows equal in all columns: one of them, as many times as are left.
+        repeat = F.explode(F.sequence(F.lit(1), F.lit(left))).alias("_time")
+        some = at_key.distinct().select(*df.columns, repeat).drop("_time")
+    else:
+        content = at_key.withColumn(_CONTENT, F.to_json(F.struct(*df.columns)))
+        some = cap_rows(content, left, _CONTENT, seed).drop(_CONTENT)
     return df.where(position < at).unionByName(some)
