@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newslens.functions.lexicon import lexicon_table
 
-AS_OF = "2024-02-01 00:00:00"
+AS_OF = "2024-02-01"
 
 # Frequent words of the test texts, so that many bins fill.
 TEST_LEXICON = [

@@ -216,40 +216,46 @@ ALL_FEATURES = (RAW_POSTS, USERS, DEDUPED_POSTS, SCORES, DEDUPED_USERS, JOINED,
 PARITY_COLUMNS = "link, " + ", ".join(_VECTOR_ITEMS)
 
 
-# Gaussian naive Bayes over the 36 features: mean and variance per class, every variance raised
-# by 1e-9 of the largest feature variance, then the class of the highest log-likelihood.
-GAUSSIAN = f"""
+# Labelled links by side of the split; the rows asked about are the held-out ones, or all links.
+SIDES = f"""
 sides AS (SELECT link, label, {VECTOR_LIST} AS x, {IS_TEST.format(key="link")} AS is_test
           FROM labeled),
-items AS (SELECT link, label, is_test, unnest(range(36)) AS j,
-                 CAST(unnest(x) AS DOUBLE) AS v FROM sides),
+train AS (SELECT link, label, x FROM sides WHERE NOT is_test)
+"""
+HELD_OUT = "asked AS (SELECT link, label, x FROM sides WHERE is_test)"
+ALL_LINKS = f"asked AS (SELECT link, CAST(NULL AS VARCHAR) AS label, {VECTOR_LIST} AS x FROM vectors)"
+
+# Gaussian naive Bayes over the 36 features: mean and variance per class, every variance raised
+# by 1e-9 of the largest feature variance, then the class of the highest log-likelihood.
+GAUSSIAN = """
+train_items AS (SELECT label, unnest(range(36)) AS j, CAST(unnest(x) AS DOUBLE) AS v FROM train),
+asked_items AS (SELECT link, label, unnest(range(36)) AS j, CAST(unnest(x) AS DOUBLE) AS v
+                FROM asked),
 spread AS (SELECT max(var) AS widest FROM (
-  SELECT avg(v * v) - avg(v) * avg(v) AS var FROM items WHERE NOT is_test GROUP BY j)),
+  SELECT avg(v * v) - avg(v) * avg(v) AS var FROM train_items GROUP BY j)),
 params AS (
   SELECT label, j, avg(v) AS mean, avg(v * v) - avg(v) * avg(v) + 1e-9 * any_value(widest) AS var
-  FROM items, spread WHERE NOT is_test GROUP BY label, j),
+  FROM train_items, spread GROUP BY label, j),
 priors AS (
   SELECT label, ln(count(*)) - ln(sum(count(*)) OVER ()) AS prior
-  FROM sides WHERE NOT is_test GROUP BY label),
+  FROM train GROUP BY label),
 likelihoods AS (
   SELECT i.link, i.label, p.label AS class,
          any_value(r.prior) - sum(ln(p.var)) / 2 - sum((i.v - p.mean) ** 2 / p.var) / 2 AS ll
-  FROM items i JOIN params p ON p.j = i.j JOIN priors r ON r.label = p.label
-  WHERE i.is_test GROUP BY 1, 2, 3),
+  FROM asked_items i JOIN params p ON p.j = i.j JOIN priors r ON r.label = p.label
+  GROUP BY 1, 2, 3),
 gaussian AS (
   SELECT link, label, arg_max(class, ll) AS prediction FROM likelihoods GROUP BY 1, 2)
 """
 
 # Nearest labelled link by squared distance, the smaller link on ties; repeats of a vector
 # cannot matter, as the smallest link among them wins either way.
-NEAREST_LINK = f"""
-sides AS (SELECT link, label, {VECTOR_LIST} AS x, {IS_TEST.format(key="link")} AS is_test
-          FROM labeled),
+NEAREST_LINK = """
 link_pairs AS (
   SELECT q.link, q.label, t.link AS near_link, t.label AS near_label,
          list_sum(list_transform(list_zip(q.x, t.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))
            AS distance
-  FROM sides q JOIN sides t ON q.is_test AND NOT t.is_test),
+  FROM asked q CROSS JOIN train t),
 nearest_link AS (
   SELECT link, label, near_label AS prediction FROM link_pairs
   QUALIFY row_number() OVER (PARTITION BY link ORDER BY distance, near_link) = 1)
@@ -423,16 +429,39 @@ def oracle_sql() -> dict[str, str]:
               FROM predictions GROUP BY link) m ON m.link = v.link""",
         ),
         "predict_gaussian_nb": _with(
-            *ALL_FEATURES, LABELED, GAUSSIAN, select="SELECT * FROM gaussian"
+            *ALL_FEATURES, LABELED, SIDES, HELD_OUT, GAUSSIAN, select="SELECT * FROM gaussian"
         ),
         "predict_knn": _with(
-            *ALL_FEATURES, LABELED, NEAREST_LINK, select="SELECT * FROM nearest_link"
+            *ALL_FEATURES,
+            LABELED,
+            SIDES,
+            HELD_OUT,
+            NEAREST_LINK,
+            select="SELECT * FROM nearest_link",
         ),
         "hold_out_accuracy": _with(
             *ALL_FEATURES,
             LABELED,
+            SIDES,
+            HELD_OUT,
             GAUSSIAN,
             select="""SELECT 'naiveBayes' AS model,
               avg(CAST(prediction = label AS DOUBLE)) AS accuracy FROM gaussian""",
         ),
+        "score_links_knn_nb": _with(
+            *ALL_FEATURES,
+            LABELED,
+            SIDES,
+            ALL_LINKS,
+            GAUSSIAN,
+            NEAREST_LINK,
+            select="""SELECT g.link, n.prediction AS knn, g.prediction AS naiveBayes,
+              CAST(n.prediction = 'fake' AS BIGINT) + CAST(g.prediction = 'fake' AS BIGINT)
+                AS fake_votes,
+              CAST(n.prediction = 'real' AS BIGINT) + CAST(g.prediction = 'real' AS BIGINT)
+                AS real_votes,
+              CASE WHEN n.prediction = 'fake' AND g.prediction = 'fake' THEN 'fake'
+                   ELSE 'real' END AS credibility
+              FROM gaussian g JOIN nearest_link n ON n.link = g.link""",
+        ),
     }

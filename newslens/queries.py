@@ -159,7 +159,7 @@ def _lookup_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _account_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshots = statuses_with_user(X.statuses(spark, sf_dir))
-    as_of = F.lit(X.AS_OF).cast("timestamp")
+    as_of = F.lit(f"{X.AS_OF} 00:00:00+00:00").cast("timestamp")
     return with_account_age(snapshots, as_of).select("tweetid", "account_age")
 
 
@@ -277,17 +277,23 @@ def _accuracy_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accuracy_table(models, _test_rows(spark, sf_dir))
 
 
-def _score_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _score_links(*voters: str) -> Query:
     """Verdicts on all links, trained on the labelled ones."""
-    models = _models(spark, sf_dir, C.VOTERS)
-    scored = score_links(
-        X.posts(spark, sf_dir), X.repeated_users(spark, sf_dir), X.lexicon(spark), models
-    )
-    return _flat_verdict(scored)
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        scored = score_links(
+            X.posts(spark, sf_dir),
+            X.repeated_users(spark, sf_dir),
+            X.lexicon(spark),
+            _models(spark, sf_dir, voters),
+        )
+        return _flat_verdict(scored, voters)
+
+    return query
 
 
-def _flat_verdict(verdicts: DataFrame) -> DataFrame:
-    reported = [m for m in C.VOTERS if m not in C.UNREPORTED]
+def _flat_verdict(verdicts: DataFrame, voters: tuple[str, ...] = C.VOTERS) -> DataFrame:
+    reported = [m for m in voters if m not in C.UNREPORTED]
     return verdicts.select(
         "link", "credibility", "fake_votes", "real_votes",
         *[F.element_at("model_result", m).alias(m) for m in reported],
@@ -363,5 +369,6 @@ def queries() -> dict[str, Query]:
         "predict_gbt": _predictions("xgb"),
         "all_predictions": _predictions(*C.VOTERS),
         "accuracy_table": _accuracy_table,
-        "score_links": _score_links,
+        "score_links_knn_nb": _score_links("knn", "naiveBayes"),
+        "score_links": _score_links(*C.VOTERS),
     }

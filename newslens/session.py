@@ -32,6 +32,25 @@ def local_session(cores: int | str = "*", app: str = "newslens", **conf: str) ->
     return spark
 
 
+def cluster_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a job whose widest shuffle moves `shuffled_bytes` on `cores` cores.
+
+    Shuffles start with partitions of about 128 MB, at least two per core, and adaptive
+    execution merges those that turn out small. For link features the widest shuffle is one
+    row of some 200 bytes per post, whatever the length of its text. Scans are cut at 64 MB:
+    cleaning and splitting a text costs more than reading it.
+    """
+    partitions = max(2 * cores, -(-shuffled_bytes // (128 << 20)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(64 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (`spark.checkpoint.dir`), or a temporary one in local mode."""
     context = spark.sparkContext

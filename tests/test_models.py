@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import random
 
 import pytest
@@ -72,6 +73,20 @@ def test_save_and_load(spark, tmp_path, models):
     assert len(before) == 160 * len(QUICK)
 
 
+def test_neighbours_too_many_to_ship_predict_the_same(spark, models):
+    features, _ = made_features(spark)
+    vectors = training.assemble(features)
+    shipped = models.fitted["knn"]
+    celled = dataclasses.replace(shipped, ship_numbers=0, tile_rows=16)
+    for one, two in zip(
+        *(
+            sorted(training.predict_all(training.ModelSet(models.labels, {"knn": m}), vectors).collect())
+            for m in (shipped, celled)
+        )
+    ):
+        assert one == two
+
+
 def test_accuracy_table_flags_the_unreported_model(spark, models):
     features, labels = made_features(spark)
     rows = training.training_set(features, labels)

@@ -146,3 +146,10 @@ def test_shared_folder_is_the_one_the_cluster_names():
 def test_written_tables_keep_their_rows(spark):
     back = session.written(spark.range(3), "numbers")
     assert back.count() == 3 and session.shared_dir(spark) in back.inputFiles()[0]
+
+
+def test_cluster_settings():
+    small = session.cluster_settings(1 << 20, 16)
+    large = session.cluster_settings(8 << 40, 4000)
+    assert small["spark.sql.shuffle.partitions"] == "32"
+    assert large["spark.sql.shuffle.partitions"] == str(8 << 13)
