@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens.functions.lexicon import lexicon_table
+from newslens.operators.skew import estimated_bytes
 
 AS_OF = "2024-02-01"
+SMALL_BYTES_PER_CORE = 16 << 20
 
 # Frequent words of the test texts, so that many bins fill.
 TEST_LEXICON = [
@@ -38,9 +40,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The texts, spread over the cores: a small file is one row group, hence one task."""
+    """The texts. A file of a few MB is one row group, hence one task: such a table, and only
+    such a one, is spread over the cores first."""
     docs = table(spark, sf_dir, "documents")
-    return docs.repartition(spark.sparkContext.defaultParallelism, "doc_id")
+    cores = spark.sparkContext.defaultParallelism
+    if estimated_bytes(docs) < cores * SMALL_BYTES_PER_CORE:
+        return docs.repartition(cores, "doc_id")
+    return docs
 
 
 def raw_posts(spark: SparkSession, sf_dir: str, decimals: bool = False) -> DataFrame:

@@ -40,7 +40,7 @@ def _clamp(value: Column) -> Column:
 
 
 def account_age(created_at: Column | str, as_of: Column) -> Column:
-    """Whole 24-hour days from `created_at` (such as `Wed Oct 10 20:19:24 +0000 2018`) to `as_of`."""
+    """Whole 24-hour days to `as_of` from a time such as `Wed Oct 10 20:19:24 +0000 2018`."""
     created = F.try_to_timestamp(F.substring(_col(created_at), 5, 64), F.lit(C.CREATED_AT_FORMAT))
     seconds = F.unix_timestamp(as_of) - F.unix_timestamp(created)
     return F.floor(seconds / 86400)

@@ -12,11 +12,15 @@ PIECE_ROWS = 1_000_000
 HOT_KEYS = 10_000
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate; nothing runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Catalyst's own size estimate lets it broadcast `df` without a hint."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size) <= int(limit)
+    return estimated_bytes(df) <= int(limit)
 
 
 def hot_keys(rows: DataFrame, key: str, piece_rows: int = PIECE_ROWS) -> DataFrame:

@@ -223,7 +223,9 @@ sides AS (SELECT link, label, {VECTOR_LIST} AS x, {IS_TEST.format(key="link")} A
 train AS (SELECT link, label, x FROM sides WHERE NOT is_test)
 """
 HELD_OUT = "asked AS (SELECT link, label, x FROM sides WHERE is_test)"
-ALL_LINKS = f"asked AS (SELECT link, CAST(NULL AS VARCHAR) AS label, {VECTOR_LIST} AS x FROM vectors)"
+ALL_LINKS = f"""
+asked AS (SELECT link, CAST(NULL AS VARCHAR) AS label, {VECTOR_LIST} AS x FROM vectors)
+"""
 
 # Gaussian naive Bayes over the 36 features: mean and variance per class, every variance raised
 # by 1e-9 of the largest feature variance, then the class of the highest log-likelihood.

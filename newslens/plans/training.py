@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Model
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
@@ -42,7 +42,7 @@ _MAX_BINS = 128
 _ROWS_PER_TASK = 10_000
 
 
-def _estimators(rows: int) -> dict[str, Callable]:
+def _estimators(rows: int) -> dict[str, Estimator]:
     """Estimator per voter; the nearest-neighbour model is fitted apart."""
     common = {"featuresCol": "vector", "labelCol": "index"}
     tree = {"maxBins": _MAX_BINS, "seed": C.SEED, "cacheNodeIds": True, "checkpointInterval": 10}
