@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newslens.llm import simhash
+from newslens.llm import main_text, simhash, winnowing
 from newslens.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,9 +16,19 @@ def _simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def _winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.near_edits(table(spark, sf_dir, "documents"))
+
+
+def _main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": _simhash,
+        "op8_winnowing": _winnowing,
+        "op9_main_text": _main_text,
     }
 
 
