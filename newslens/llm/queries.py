@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newslens.llm import main_text, simhash, winnowing
+from newslens.llm import main_text, simhash, toxicity, winnowing
 from newslens.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,9 +24,14 @@ def _main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages"))
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": _simhash,
+        "op4_toxicity": _toxicity,
         "op8_winnowing": _winnowing,
         "op9_main_text": _main_text,
     }

@@ -23,15 +23,15 @@ from pyspark.sql import functions as F
 
 from newslens.llm.tables import held_out, text_bytes
 
-WINDOW = 8
+WINDOW = 6
 LEVEL = 3
 ORDINARY_BYTES = 64_000
 TOXIC_BYTES = 4_000
 # Bounds of the labelled sample: documents of each class, and the length of each.
-SAMPLE = 2_000
+SAMPLE = 3_000
 SAMPLE_CHARS = 40_000
 # A word is telling if its document rates differ by so many standard errors.
-TELLING = 6.5
+TELLING = 5.5
 IF_NONE_TELLING = 20
 
 

@@ -28,8 +28,8 @@ def test_odd_rows_and_tables(spark):
     for i in range(300):
         words = rng.choices(plain, k=60)
         if i % 4 == 0:
-            words[rng.randrange(60)] = "VILE"
-            words[rng.randrange(60)] = "rotten"
+            for place in rng.sample(range(60), 6):
+                words[place] = rng.choice(("DESPICABLE", "abominable"))
         rows.append((i, " ".join(words)))
         labels.append((i, int(i % 4 == 0)))
     rows += [(900, None), (901, ""), (None, rows[0][1]), (0, rows[0][1]), (902, "vile rotten " + "w1 " * 30000)]
