@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newslens.llm import main_text, simhash, toxicity, winnowing
+from newslens.llm import language_id, main_text, simhash, token_files, toxicity, winnowing
 from newslens.llm.tables import table
 
+# The tokenizer's vocabulary file, on every executor.
+TOKENIZER_FILE = "word_bpe_49k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -28,10 +32,20 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER_FILE))
+
+
+def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": _simhash,
         "op4_toxicity": _toxicity,
+        "op6_token_files": _token_files,
+        "op7_language_id": _language_id,
         "op8_winnowing": _winnowing,
         "op9_main_text": _main_text,
     }
