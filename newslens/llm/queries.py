@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newslens.llm import language_id, main_text, simhash, token_files, toxicity, winnowing
+from newslens.llm import (
+    language_id,
+    license_scan,
+    main_text,
+    simhash,
+    token_files,
+    toxicity,
+    winnowing,
+)
 from newslens.llm.tables import table
 
 # The tokenizer's vocabulary file, on every executor.
@@ -40,9 +48,14 @@ def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def _license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": _simhash,
+        "op2_license_scan": _license_scan,
         "op4_toxicity": _toxicity,
         "op6_token_files": _token_files,
         "op7_language_id": _language_id,
