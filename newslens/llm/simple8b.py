@@ -17,18 +17,26 @@ SELECTORS = (
 )
 ESCAPE = 15
 _MOST = SELECTORS[0][0]
+_TOGETHER = 256  # blocks that are coded side by side
 _COUNTS = np.zeros(16, np.int64)
 _COUNTS[: len(SELECTORS)] = [count for count, _ in SELECTORS]
 _COUNTS[ESCAPE] = 1
 _SELECTOR_OF = {count: selector for selector, (count, _) in enumerate(SELECTORS)}
 
 
+_SHORT = np.array([max(1, i.bit_length()) for i in range(1 << 16)], np.uint8)
+
+
 def _widths(values: np.ndarray) -> np.ndarray:
     """Bits that each value needs, at least one."""
-    widths = np.ones(values.shape, np.uint8)
-    top = int(values.max(initial=0))
-    for bits in range(1, top.bit_length()):
-        widths += values >= np.uint64(1 << bits)
+    widths = _SHORT[values & np.uint64(0xFFFF)]
+    for part in (1, 2, 3):
+        upper = values >> np.uint64(16 * part)
+        there = upper > 0
+        if not there.any():
+            break
+        low = _SHORT[upper[there] & np.uint64(0xFFFF)] + np.uint8(16 * part)
+        widths[there] = np.where(upper[there] & np.uint64(0xFFFF), low, widths[there])
     return widths
 
 
@@ -54,7 +62,16 @@ def _reach(widths: np.ndarray) -> np.ndarray:
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(words, offsets): the coded words, and the first word of each block of BLOCK values."""
-    values = values.astype(np.uint64, copy=False)
+    words, offsets, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    for low in range(0, len(values), _TOGETHER * BLOCK):
+        some, starts = _encode(values[low : low + _TOGETHER * BLOCK].astype(np.uint64))
+        words.append(some)
+        offsets.append(starts + at)
+        at += len(some)
+    return np.concatenate(words), np.concatenate(offsets)
+
+
+def _encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blocks = -(-len(values) // BLOCK)
     padded = np.zeros((blocks, BLOCK + _MOST), np.uint64)
     body = np.zeros(blocks * BLOCK, np.uint64)
@@ -62,8 +79,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     padded[:, :BLOCK] = body.reshape(blocks, BLOCK)
     take = _reach(_widths(padded))
     ends = np.full(blocks, BLOCK)
-    if blocks:
-        ends[-1] = len(values) - (blocks - 1) * BLOCK
+    ends[-1] = len(values) - (blocks - 1) * BLOCK
     # All blocks step ahead together, a word each.
     block, place = np.arange(blocks), np.zeros(blocks, np.int64)
     steps = []
@@ -73,8 +89,6 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         place = place + count
         going = place < ends[block]
         block, place = block[going], place[going]
-    if not steps:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     block, place, count = (np.concatenate(part) for part in zip(*steps, strict=True))
     order = np.argsort(block, kind="stable")
     block, place, count = block[order], place[order], count[order]
@@ -109,15 +123,18 @@ def decode(words: np.ndarray, offsets: np.ndarray, total: int) -> np.ndarray:
     block[offsets[1:]] = 1
     block = np.cumsum(block)
     inside = before - before[offsets][block] if len(words) else before
-    ends = np.minimum(BLOCK, total - block * BLOCK)
-    out = np.zeros(len(offsets) * BLOCK, np.uint64)
+    # The last word of a block may hold more places than values: each block has room for them.
+    out = np.zeros((len(offsets), BLOCK + _MOST), np.uint64)
+    flat = out.reshape(-1)
+    start = block * (BLOCK + _MOST) + inside
     for selector, (number, bits) in enumerate(SELECTORS):
         rows = np.flatnonzero((selectors == selector) & ~raw)
+        if not len(rows):
+            continue
         mask = np.uint64((1 << bits) - 1)
-        for i in range(number if len(rows) else 0):
-            rows = rows[inside[rows] + i < ends[rows]]
-            value = (words[rows] >> np.uint64(i * bits)) & mask
-            out[block[rows] * BLOCK + inside[rows] + i] = value
+        coded, at = words[rows], start[rows]
+        for i in range(number):
+            flat[at + i] = (coded >> np.uint64(i * bits)) & mask
     rows = np.flatnonzero((selectors == ESCAPE) & ~raw)
-    out[block[rows] * BLOCK + inside[rows]] = words[rows + 1]
-    return out[:total]
+    flat[start[rows]] = words[rows + 1]
+    return out[:, :BLOCK].reshape(-1)[:total]

@@ -13,6 +13,7 @@ them. A table beside them, the manifest, says which files belong to the run.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -33,42 +34,99 @@ END_ID = 2
 # A file is closed when it holds so many ids; a document is never split.
 FILE_IDS = 4_000_000
 # Distinct words whose ids a worker remembers.
-MEMO = 400_000
+MEMO = 1_500_000
 
 _tokenizers: dict[str, tuple] = {}
 
 
+# A control character that is one token of its own, to part words that are encoded together.
+_PART = b"\x7f"
+_TOGETHER = 1000
+_PUNCTUATION = frozenset(b".,;:!?")
+_ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+
+
 def _tokenizer(path: str) -> tuple:
-    """The tokenizer of a worker process and its memo, loaded once."""
+    """The tokenizer of a worker process, its memo and the id of _PART, loaded once."""
     if path not in _tokenizers:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
+        tokenizer = Tokenizer.from_file(path)
+        part = tokenizer.encode(_PART.decode(), add_special_tokens=False).ids
+        _tokenizers[path] = (tokenizer, ({}, {}), part[0] if len(part) == 1 else None)
     return _tokenizers[path]
 
 
+def _encode_words(words: list[bytes], tokenizer, part: int | None) -> list[bytes]:
+    """Ids of each word; many are encoded in one go and parted by the ids of _PART between them."""
+    plain = [w for w in words if part is not None and _PART not in w and b"<|" not in w]
+    found = {}
+    joiner = b" " + _PART + b" "
+    texts = [joiner.join(plain[i : i + _TOGETHER]).decode() for i in range(0, len(plain), _TOGETHER)]
+    for low, encoding in enumerate(tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        ids = np.array(encoding.ids, "<u4")
+        data = ids.tobytes()
+        cuts = (np.flatnonzero(ids == part) * 4).tolist()
+        group = plain[low * _TOGETHER : (low + 1) * _TOGETHER]
+        starts, stops = [0, *(cut + 4 for cut in cuts)], [*cuts, len(data)]
+        found |= zip(group, (data[a:b] for a, b in zip(starts, stops, strict=True)), strict=True)
+    for word in words:
+        if word not in found:
+            ids = tokenizer.encode(word.decode(), add_special_tokens=False).ids
+            found[word] = np.array(ids, "<u4").tobytes()
+    return [found[word] for word in words]
+
+
+def _canonical(word: bytes) -> tuple[bytes, bytes]:
+    """(core, mark) whose ids are those of the word: a lower-case core, and one mark or nothing.
+
+    Only words of characters below U+0100 are changed: there lower case comes character by
+    character, as in the tokenizer, and no character combines with another. A mark is parted
+    from a letter or digit before it, as the tokenizer's pattern does.
+    """
+    if max(word) > 0xC3 or b"<|" in word:
+        return word, b""
+    mark = b""
+    if len(word) > 1 and word[-1] in _PUNCTUATION and (
+        word[-2] in _ALNUM or (len(word) > 2 and word[-3] == 0xC3 and word[-2] not in b"\x97\xb7")
+    ):
+        word, mark = word[:-1], word[-1:]
+    return (word.lower() if word.isascii() else word.decode().lower().encode()), mark
+
+
 def token_bytes(texts: list[bytes], path: str) -> list[bytes]:
     """Ids of each text as little-endian 32-bit integers, without special ids.
 
-    The tokenizer's pieces never span white space, so each text is cut there, and each distinct
-    word is encoded once and then remembered.
+    The tokenizer's pieces never span white space, so each text is cut there, and each
+    distinct word is encoded once and then remembered: the words of late, and those before
+    them until as many new ones have come.
     """
-    tokenizer, memo = _tokenizer(path)
-    out = []
-    for text in texts:
-        words = text.split()
-        unknown = list(set(words).difference(memo))
-        if unknown:
-            if len(memo) + len(unknown) > MEMO:
-                memo.clear()
-                unknown = list(set(words))
-            found = tokenizer.encode_batch_fast(
-                [word.decode() for word in unknown], add_special_tokens=False
-            )
-            for word, encoding in zip(unknown, found, strict=True):
-                memo[word] = np.array(encoding.ids, "<u4").tobytes()
-        out.append(b"".join(map(memo.__getitem__, words)))
-    return out
+    tokenizer, (memo, older), part = _tokenizer(path)
+    if 2 * len(memo) > MEMO:
+        memo, older = {}, memo
+        _tokenizers[path] = (tokenizer, (memo, older), part)
+    split = [text.split() for text in texts]
+    unknown = set().union(*split).difference(memo)
+    again = unknown.intersection(older)
+    memo |= ((word, older[word]) for word in again)
+    unknown -= again
+    if unknown:
+        parted = {word: _canonical(word) for word in unknown}
+        wanted = set().union(*parted.values()).difference(memo)
+        wanted.discard(b"")
+        fresh = []
+        for word in wanted:
+            if word in older:
+                memo[word] = older[word]
+            else:
+                fresh.append(word)
+        memo |= zip(fresh, _encode_words(fresh, tokenizer, part), strict=True)
+        memo |= (
+            (word, memo[core] + memo[mark] if mark else memo[core])
+            for word, (core, mark) in parted.items()
+        )
+    return [b"".join(map(memo.__getitem__, words)) for words in split]
 
 
 def pack(doc_ids: list[int | None], tokens: list[bytes]) -> bytes:
