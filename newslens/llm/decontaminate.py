@@ -15,6 +15,8 @@ and only those that a sketch holds are kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +24,6 @@ from newslens.session import written
 
 SHINGLE = 5
 THRESHOLD = 0.8
-# Shingles of the same words get the same hash in items and documents.
-_SEED = 42
 
 
 def words_of(text: Column) -> Column:
@@ -32,32 +32,32 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(spaced, " "), lambda word: word != "")
 
 
-def _at(words: Column, i: Column, shift: int) -> Column:
-    return F.get(words, i + shift)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often the body's own functions use it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def shingle_hashes(words: Column) -> Column:
-    """One hash for each run of SHINGLE words; a shorter text that has words is one shingle."""
+def _runs(words: Column, shingle: Callable[..., Column]) -> Column:
+    """`shingle` of every run of SHINGLE words; a shorter text that has words is one run."""
     count = F.size(words)
-    runs = F.transform(
-        F.sequence(F.lit(0), count - SHINGLE),
-        lambda i: F.xxhash64(*[_at(words, i, shift) for shift in range(SHINGLE)]),
+    whole = F.transform(
+        F.sequence(F.lit(0), F.greatest(count, F.lit(SHINGLE)) - SHINGLE),
+        lambda i: shingle(*[F.get(words, i + shift) for shift in range(SHINGLE)]),
     )
-    short = F.array(F.xxhash64(F.array_join(words, " ")))
-    none = F.array().cast("array<bigint>")
-    return F.when(count >= SHINGLE, runs).when(count > 0, short).otherwise(none)
+    return F.when(count > 0, whole).otherwise(F.slice(whole, 1, 0))
 
 
-def shingles(words: Column) -> Column:
-    """The distinct shingles themselves."""
-    count = F.size(words)
-    runs = F.transform(
-        F.sequence(F.lit(0), count - SHINGLE),
-        lambda i: F.concat_ws(" ", *[_at(words, i, shift) for shift in range(SHINGLE)]),
+def shingle_hashes(text: Column) -> Column:
+    """Hashes of all shingles of a text."""
+    return _let(words_of(text), lambda words: _runs(words, F.xxhash64))
+
+
+def shingles(text: Column) -> Column:
+    """The distinct shingles of a text themselves."""
+    return _let(
+        words_of(text),
+        lambda words: F.array_distinct(_runs(words, lambda *run: F.concat_ws(" ", *run))),
     )
-    short = F.array(F.array_join(words, " "))
-    none = F.array().cast("array<string>")
-    return F.array_distinct(F.when(count >= SHINGLE, runs).when(count > 0, short).otherwise(none))
 
 
 def _most_missing(size: Column, threshold: float) -> Column:
@@ -67,7 +67,7 @@ def _most_missing(size: Column, threshold: float) -> Column:
 
 def item_sketches(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(item, hash): the sketch of every item, as long as its size partition asks."""
-    listed = items.select("item", F.array_sort(F.array_distinct(shingle_hashes(F.col("words")))).alias("hashes"))
+    listed = items.select("item", F.array_sort(F.array_distinct(shingle_hashes(F.col("text")))).alias("hashes"))
     size = F.size("hashes")
     # The upper end of the partition (2**k .. 2**(k+1) - 1 shingles).
     upper = F.pow(F.lit(2.0), F.floor(F.log2(size.cast("double"))) + 1) - 1
@@ -86,23 +86,21 @@ def containments(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     """
     items = written(
         benchmark.where("item_id IS NOT NULL")
-        .select(F.col("item_id").cast("long").alias("item_id"), words_of(F.col("text")).alias("words"))
+        .select(F.col("item_id").cast("long").alias("item_id"), F.col("text"))
         .distinct()
-        .withColumn("item", F.xxhash64("item_id", "words")),
+        .withColumn("item", F.xxhash64("item_id", "text")),
         "items",
     )
     # Written so that its size is known: small sketches are broadcast, large ones shuffled.
     sketches = written(item_sketches(items, threshold), "sketches")
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    worded = rows.select("doc_id", words_of(F.col("text")).alias("words"))
-    hashed = worded.select("doc_id", F.explode(shingle_hashes(F.col("words"))).alias("hash"))
+    hashed = rows.select("doc_id", F.explode(shingle_hashes(F.col("text"))).alias("hash"))
     candidates = hashed.join(sketches, "hash").select("doc_id", "item").distinct()
-    wanted = items.select("item_id", "item", shingles(F.col("words")).alias("wanted"))
+    wanted = items.select("item_id", "item", shingles(F.col("text")).alias("wanted"))
     candidates = written(candidates.join(wanted, "item"), "candidates")
-    found = rows.join(candidates, "doc_id").select(
-        "doc_id", "item_id", "wanted", words_of(F.col("text")).alias("words")
+    held = rows.join(candidates, "doc_id").select(
+        "doc_id", "item_id", "wanted", shingles(F.col("text")).alias("held")
     )
-    held = found.select("doc_id", "item_id", "wanted", shingles(F.col("words")).alias("held"))
     share = F.size(F.array_intersect("wanted", "held")) / F.size("wanted")
     return (
         held.select("doc_id", "item_id", share.alias("containment"))

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from newslens.llm import (
+    decontaminate,
     language_id,
     license_scan,
     main_text,
@@ -52,10 +53,17 @@ def _license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.containments(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": _simhash,
         "op2_license_scan": _license_scan,
+        "op3_decontaminate": _decontaminate,
         "op4_toxicity": _toxicity,
         "op6_token_files": _token_files,
         "op7_language_id": _language_id,

@@ -5,7 +5,6 @@ from __future__ import annotations
 import random
 import re
 
-import pytest
 
 from newslens.llm.decontaminate import containments, item_sketches
 from newslens.llm.tables import table
@@ -47,15 +46,15 @@ def test_hard_cases(spark):
     left = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS item_id", "2 AS hash", "3 AS item", "'w' AS words")
     right = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS doc_id", "'w' AS words")
     got = sorted(map(tuple, containments(left, right).collect()))
-    assert got == pytest.approx(plain(docs, items))
+    assert got == plain(docs, items)
     assert len(got) > 50
     assert containments(left.limit(0), right).count() == 0
     assert containments(left, right.limit(0)).count() == 0
 
 
 def test_sketch_is_longer_than_what_may_be_missing(spark):
-    rows = [(n, [f"x{n}_{i}" for i in range(n + 4)]) for n in range(1, 130)]
-    df = spark.createDataFrame(rows, "item long, words array<string>")
+    rows = [(n, " ".join(f"x{n}y{i}" for i in range(n + 4))) for n in range(1, 130)]
+    df = spark.createDataFrame(rows, "item long, text string")
     sizes = {r.item: r["count"] for r in item_sketches(df).groupBy("item").count().collect()}
     for n, size in sizes.items():
         assert min(n, n // 5 + 1) <= size <= 2 * n // 5 + 1, n
@@ -64,5 +63,5 @@ def test_sketch_is_longer_than_what_may_be_missing(spark):
 def test_given_documents(spark):
     docs, items = (table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "benchmark"))
     got = sorted(map(tuple, containments(docs, items).collect()))
-    assert got == pytest.approx(plain([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()]))
+    assert got == plain([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
     assert got
