@@ -12,6 +12,7 @@ from newslens.llm import (
     language_id,
     license_scan,
     main_text,
+    mixing,
     simhash,
     token_files,
     toxicity,
@@ -59,6 +60,22 @@ def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Half as many tokens again as there are, with English and the first domain raised.
+MIX = mixing.Mix(
+    percent=150,
+    epochs=4,
+    seed=2026,
+    weights={
+        "domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1},
+        "lang": {"en": 5, "de": 2, "fr": 2, "es": 1},
+    },
+)
+
+
+def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"), MIX)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": _simhash,
@@ -69,8 +86,9 @@ def queries() -> dict[str, Query]:
         "op7_language_id": _language_id,
         "op8_winnowing": _winnowing,
         "op9_main_text": _main_text,
+        "op10_mixing": _mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_mixing": mixing.mix_sql(MIX)}
