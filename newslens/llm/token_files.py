@@ -13,8 +13,11 @@ them. A table beside them, the manifest, says which files belong to the run.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,99 +37,88 @@ END_ID = 2
 # A file is closed when it holds so many ids; a document is never split.
 FILE_IDS = 4_000_000
 # Distinct words whose ids a worker remembers.
-MEMO = 1_500_000
+MEMO = 800_000
 
-_tokenizers: dict[str, tuple] = {}
+_tokenizers: dict[str, WordTokenizer] = {}
 
 
-# A control character that is one token of its own, to part words that are encoded together.
-_PART = b"\x7f"
-_TOGETHER = 1000
-_PUNCTUATION = frozenset(b".,;:!?")
-_ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+# Bytes that only characters from U+0100 on have.
+_BEYOND = re.compile(rb"[\xc4-\xff]")
+# A single mark at the end of a word, after a letter or digit: the tokenizer parts them there.
+_MARK = re.compile(
+    rb"[.,;:!?](?=[\x20\x09-\x0d]|\Z)"
+    rb"(?:(?<=[a-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))"
+)
+# Byte-level models spell bytes as characters: printable ones as themselves, others from U+0100 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_HIDDEN = [b for b in range(256) if b not in set(_PRINTED)]
+_SPELLING = {b: chr(b) for b in _PRINTED} | {b: chr(0x100 + i) for i, b in enumerate(_HIDDEN)}
 
 
-def _tokenizer(path: str) -> tuple:
-    """The tokenizer of a worker process, its memo and the id of _PART, loaded once."""
-    if path not in _tokenizers:
+class WordTokenizer(dict):
+    """A tokenizer with a memo of words: word -> ids as bytes; one for each worker process.
+
+    If the tokenizer lower-cases and composes characters, cuts at letters and spells bytes, then a
+    lower-case word of letters below U+0100 reaches its model unchanged, and goes there directly.
+    The memo holds the words of late, and those before them until as many new ones have come.
+    """
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        part = tokenizer.encode(_PART.decode(), add_special_tokens=False).ids
-        _tokenizers[path] = (tokenizer, ({}, {}), part[0] if len(part) == 1 else None)
-    return _tokenizers[path]
-
-
-def _encode_words(words: list[bytes], tokenizer, part: int | None) -> list[bytes]:
-    """Ids of each word; many are encoded in one go and parted by the ids of _PART between them."""
-    plain = [w for w in words if part is not None and _PART not in w and b"<|" not in w]
-    found = {}
-    joiner = b" " + _PART + b" "
-    texts = [joiner.join(plain[i : i + _TOGETHER]).decode() for i in range(0, len(plain), _TOGETHER)]
-    for low, encoding in enumerate(tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-        ids = np.array(encoding.ids, "<u4")
-        data = ids.tobytes()
-        cuts = (np.flatnonzero(ids == part) * 4).tolist()
-        group = plain[low * _TOGETHER : (low + 1) * _TOGETHER]
-        starts, stops = [0, *(cut + 4 for cut in cuts)], [*cuts, len(data)]
-        found |= zip(group, (data[a:b] for a, b in zip(starts, stops, strict=True)), strict=True)
-    for word in words:
-        if word not in found:
-            ids = tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            found[word] = np.array(ids, "<u4").tobytes()
-    return [found[word] for word in words]
-
-
-def _canonical(word: bytes) -> tuple[bytes, bytes]:
-    """(core, mark) whose ids are those of the word: a lower-case core, and one mark or nothing.
-
-    Only words of characters below U+0100 are changed: there lower case comes character by
-    character, as in the tokenizer, and no character combines with another. A mark is parted
-    from a letter or digit before it, as the tokenizer's pattern does.
-    """
-    if max(word) > 0xC3 or b"<|" in word:
-        return word, b""
-    mark = b""
-    if len(word) > 1 and word[-1] in _PUNCTUATION and (
-        word[-2] in _ALNUM or (len(word) > 2 and word[-3] == 0xC3 and word[-2] not in b"\x97\xb7")
-    ):
-        word, mark = word[:-1], word[-1:]
-    return (word.lower() if word.isascii() else word.decode().lower().encode()), mark
+        super().__init__()
+        self.older: dict[bytes, bytes] = {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
+        shape = json.loads(self.tokenizer.to_str())
+        normalizers = (shape["normalizer"] or {}).get("normalizers", [])
+        cutters = (shape["pre_tokenizer"] or {}).get("pretokenizers", [])
+        pattern = (cutters[0].get("pattern") or {}).get("Regex", "") if cutters else ""
+        self.direct = (
+            [x["type"] for x in normalizers] == ["NFC", "Replace", "Lowercase"]
+            and [x["type"] for x in cutters] == ["Split", "ByteLevel"]
+            and pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+            and not cutters[1].get("add_prefix_space")
+        )
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            text = word.decode()
+            if self.direct and text.isalpha() and text == text.lower() and max(text) < "\u0100":
+                spelled = text if word.isascii() else word.decode("latin-1").translate(_SPELLING)
+                ids = [token.id for token in self.tokenize(spelled)]
+            else:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            found = array("I", ids).tobytes()
+        self[word] = found
+        return found
+
+    def words(self, text: bytes) -> list[bytes]:
+        """Pieces of a text whose ids, in a row, are those of the text."""
+        if self.direct and not _BEYOND.search(text) and b"<|" not in text:
+            # Below U+0100 lower case comes character by character, and nothing combines.
+            text = text.lower() if text.isascii() else text.decode().lower().encode()
+            text = _MARK.sub(rb" \g<0>", text)
+        return text.split()
+
+    def encode(self, text: bytes) -> bytes:
+        if 2 * len(self) > MEMO:
+            self.older = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, self.words(text)))
 
 
 def token_bytes(texts: list[bytes], path: str) -> list[bytes]:
     """Ids of each text as little-endian 32-bit integers, without special ids.
 
     The tokenizer's pieces never span white space, so each text is cut there, and each
-    distinct word is encoded once and then remembered: the words of late, and those before
-    them until as many new ones have come.
+    distinct word is encoded once and then remembered.
     """
-    tokenizer, (memo, older), part = _tokenizer(path)
-    if 2 * len(memo) > MEMO:
-        memo, older = {}, memo
-        _tokenizers[path] = (tokenizer, (memo, older), part)
-    split = [text.split() for text in texts]
-    unknown = set().union(*split).difference(memo)
-    again = unknown.intersection(older)
-    memo |= ((word, older[word]) for word in again)
-    unknown -= again
-    if unknown:
-        parted = {word: _canonical(word) for word in unknown}
-        wanted = set().union(*parted.values()).difference(memo)
-        wanted.discard(b"")
-        fresh = []
-        for word in wanted:
-            if word in older:
-                memo[word] = older[word]
-            else:
-                fresh.append(word)
-        memo |= zip(fresh, _encode_words(fresh, tokenizer, part), strict=True)
-        memo |= (
-            (word, memo[core] + memo[mark] if mark else memo[core])
-            for word, (core, mark) in parted.items()
-        )
-    return [b"".join(map(memo.__getitem__, words)) for words in split]
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return [_tokenizers[path].encode(text) for text in texts]
 
 
 def pack(doc_ids: list[int | None], tokens: list[bytes]) -> bytes:
