@@ -98,7 +98,9 @@ def containments(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     candidates = hashed.join(sketches, "hash").select("doc_id", "item").distinct()
     wanted = items.select("item_id", "item", shingles(F.col("text")).alias("wanted"))
     candidates = written(candidates.join(wanted, "item"), "candidates")
-    held = rows.join(candidates, "doc_id").select(
+    # Only the texts of documents with a candidate move, where the list of these is small.
+    hit = written(candidates.select("doc_id").distinct(), "hit")
+    held = rows.join(hit, "doc_id", "left_semi").join(candidates, "doc_id").select(
         "doc_id", "item_id", "wanted", shingles(F.col("text")).alias("held")
     )
     share = F.size(F.array_intersect("wanted", "held")) / F.size("wanted")
