@@ -14,6 +14,7 @@ from newslens.llm import (
     main_text,
     mixing,
     simhash,
+    substrings,
     token_files,
     toxicity,
     winnowing,
@@ -76,12 +77,17 @@ def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"), MIX)
 
 
+def _substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": _simhash,
         "op2_license_scan": _license_scan,
         "op3_decontaminate": _decontaminate,
         "op4_toxicity": _toxicity,
+        "op5_substrings": _substrings,
         "op6_token_files": _token_files,
         "op7_language_id": _language_id,
         "op8_winnowing": _winnowing,
