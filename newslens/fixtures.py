@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens.functions.lexicon import lexicon_table
-from newslens.operators.skew import estimated_bytes
 
 AS_OF = "2024-02-01"
-SMALL_BYTES_PER_CORE = 16 << 20
 
 # Frequent words of the test texts, so that many bins fill.
 TEST_LEXICON = [
@@ -40,13 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The texts. A file of a few MB is one row group, hence one task: such a table, and only
-    such a one, is spread over the cores first."""
-    docs = table(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    if estimated_bytes(docs) < cores * SMALL_BYTES_PER_CORE:
-        return docs.repartition(cores, "doc_id")
-    return docs
+    return table(spark, sf_dir, "documents")
 
 
 def raw_posts(spark: SparkSession, sf_dir: str, decimals: bool = False) -> DataFrame:
@@ -222,3 +214,21 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("voter.model").alias("model"),
         F.when(vote, "fake").otherwise("real").alias("prediction"),
     )
+
+
+def margin_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(link, label, features): one row per event, its label readable from any feature.
+
+    Each feature is 0..4 for one label and 40..44 for the other, every second one the other way
+    round, so that a right model of any kind gives every row its label.
+    """
+    number = F.col("event_id")
+    fake = number % 3 == 0
+    parts = [
+        F.when(fake if j % 2 else ~fake, 40).otherwise(0) + (number * (j + 1)) % 5 for j in range(36)
+    ]
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("e"), number.cast("string")).alias("link"),
+        F.when(fake, "fake").otherwise("real").alias("label"),
+        F.array(*parts).cast("array<bigint>").alias("features"),
+    )

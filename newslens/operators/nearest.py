@@ -1,13 +1,12 @@
 """Exact 1-nearest-neighbour by Euclidean distance; of equally near rows the smallest id wins.
 
-A training table of bounded size goes to every executor and queries stream past it. A larger one
-is cut into cells around pivots: each query meets only the cells that can hold its nearest row,
-in tiles of bounded size on both sides, and a tile gives back one row per query, never pairs.
+Labelled rows are few beside what is scored: a fit takes at most `max_train_rows` of them, the first in
+hash order. That table goes to every executor, and queries stream past it at a cost in proportion
+to their number.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,13 +15,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslens.operators.skew import spread_join
-from newslens.session import written
+from newslens import constants as C
+from newslens.operators.sampling import cap_rows
+from newslens.session import ship_package, written
 
-# Largest training table, in numbers, that is shipped whole (8 bytes each).
-SHIP_NUMBERS = 4_000_000
-MAX_PIVOTS = 1024
-TILE_ROWS = 4096
 # Numbers held at once while comparing a batch.
 _WORK = 250_000
 
@@ -55,34 +51,13 @@ class NearestNeighbour:
     """A fitted model: `train` has one row per distinct vector (features, id, label)."""
 
     train: DataFrame
-    rows: int
-    width: int
-    ship_numbers: int = SHIP_NUMBERS
-    tile_rows: int = TILE_ROWS
-
-    @classmethod
-    def over(
-        cls, train: DataFrame, ship_numbers: int = SHIP_NUMBERS, tile_rows: int = TILE_ROWS
-    ) -> NearestNeighbour:
-        """The model over a stored training table."""
-        shape = train.agg(
-            F.count("*").alias("rows"), F.max(F.size("features")).alias("width")
-        ).first()
-        return cls(train, shape.rows, shape.width or 0, ship_numbers, tile_rows)
-
-    def predict(
-        self, df: DataFrame, output: str = "prediction", key: str = "link"
-    ) -> DataFrame:
+
+    def predict(self, df: DataFrame, output: str = "prediction") -> DataFrame:
         """`df`, which has an array column `features`, with the label of the nearest row.
 
-        Past the shipping bound, `df` is first written to the shared folder, as it is read
-        several times.
+        A null vector, or a model without rows, gives a null label.
         """
-        if self.rows * self.width <= self.ship_numbers:
-            return self._by_shipping(df, output)
-        return self._by_cells(df, output, key)
-
-    def _by_shipping(self, df: DataFrame, output: str) -> DataFrame:
+        ship_package(df.sparkSession)
         table = self.train.orderBy("id").select("features", "label").toPandas()
         shipped = df.sparkSession.sparkContext.broadcast(
             (_matrix(table["features"]), table["label"].to_numpy(dtype=object))
@@ -92,126 +67,31 @@ class NearestNeighbour:
         def nearest_label(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             rows, labels = shipped.value
             for batch in batches:
-                index, _ = _nearest_rows(_matrix(batch), rows)
-                yield pd.Series(labels[index])
+                found = pd.Series([None] * len(batch), dtype=object)
+                there = batch.notna().to_numpy()
+                if len(rows) and there.any():
+                    index, _ = _nearest_rows(_matrix(batch[there]), rows)
+                    found[there] = labels[index]
+                yield found
 
         vector = F.col("features").cast("array<double>")
         return df.withColumn(output, nearest_label(vector))
 
-    def _by_cells(self, df: DataFrame, output: str, key: str) -> DataFrame:
-        spark = df.sparkSession
-        vector = F.col("features").cast("array<double>")
-        keyed = written(df.withColumn("_vector", vector), "queries")
-        count = min(MAX_PIVOTS, math.ceil(math.sqrt(self.rows)))
-        # A bounded sample of the training rows: at most MAX_PIVOTS vectors reach the driver.
-        sample = self.train.orderBy(F.xxhash64("features"), "id").limit(count).select("features")
-        pivots = spark.sparkContext.broadcast(_matrix(sample.toPandas()["features"]))
-
-        @F.pandas_udf("cell int, distance double")
-        def home(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                index, squared = _nearest_rows(_matrix(batch), pivots.value)
-                yield pd.DataFrame({"cell": index.astype("int32"), "distance": np.sqrt(squared)})
-
-        placed = written(
-            self.train.withColumn("home", home("features")).select(
-                "features", "id", "label", "home.cell", "home.distance"
-            ),
-            "nearest",
-        )
-        cells = (
-            placed.groupBy("cell")
-            .agg(F.max("distance").alias("radius"), F.count("*").alias("n"))
-            .toPandas()
-        )
-        radius = np.full(count, -np.inf)
-        radius[cells["cell"]] = cells["radius"]
-        radii = spark.sparkContext.broadcast(radius)
-
-        @F.pandas_udf("array<int>")
-        def reachable(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            # A pivot is a training row, so its distance bounds the nearest one from above; a
-            # cell whose every row lies beyond that bound is left out.
-            for batch in batches:
-                queries, centres = _matrix(batch), pivots.value
-                squares = np.zeros((len(queries), len(centres)))
-                for d in range(centres.shape[1]):
-                    squares += np.square(queries[:, d, None] - centres[None, :, d])
-                distance = np.sqrt(squares)
-                slack = 1e-9 * (1.0 + distance.max(axis=1, initial=0.0))[:, None]
-                near = distance - radii.value[None, :] <= distance.min(axis=1)[:, None] + slack
-                yield pd.Series([np.flatnonzero(row).astype("int32") for row in near])
-
-        asked = keyed.select(F.col("_vector").alias("features")).distinct()
-        visits = written(
-            asked.select("features", F.explode(reachable("features")).alias("cell")), "visits"
-        )
-        # Both sides of a cell in tiles: (cell, block of rows, chunk of queries).
-        sizes = F.broadcast(  # at most MAX_PIVOTS rows
-            placed.groupBy("cell")
-            .agg(F.ceil(F.count("*") / self.tile_rows).cast("int").alias("blocks"))
-            .join(
-                visits.groupBy("cell").agg(
-                    F.ceil(F.count("*") / self.tile_rows).cast("int").alias("chunks")
-                ),
-                "cell",
-            )
-        )
-        row_block = F.pmod(F.xxhash64("features"), F.col("blocks")).cast("int")
-        query_chunk = F.pmod(F.xxhash64("features"), F.col("chunks")).cast("int")
-        upto_chunks = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-        upto_blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        tiles = ["cell", "block", "chunk"]
-        rows = placed.join(sizes, "cell").select(
-            "cell", row_block.alias("block"), upto_chunks.alias("chunk"), "features", "id", "label"
-        )
-        queries = visits.join(sizes, "cell").select(
-            "cell", upto_blocks.alias("block"), query_chunk.alias("chunk"), "features"
-        )
-        id_type = dict(self.train.dtypes)["id"]
-
-        def compare(rows_part: pd.DataFrame, queries_part: pd.DataFrame) -> pd.DataFrame:
-            names = ["features", "squared", "id", "label"]
-            if rows_part.empty or queries_part.empty:
-                return pd.DataFrame({name: [] for name in names}, dtype=object)
-            rows_part = rows_part.sort_values("id")
-            index, squared = _nearest_rows(
-                _matrix(queries_part["features"]), _matrix(rows_part["features"])
-            )
-            found = rows_part.iloc[index]
-            return pd.DataFrame(
-                {
-                    "features": queries_part["features"].to_numpy(),
-                    "squared": squared,
-                    "id": found["id"].to_numpy(),
-                    "label": found["label"].to_numpy(),
-                }
-            )
-
-        nearest = (
-            rows.groupBy(*tiles)
-            .cogroup(queries.groupBy(*tiles))
-            .applyInPandas(
-                compare, f"features array<double>, squared double, id {id_type}, label string"
-            )
-            .groupBy("features")
-            .agg(F.min(F.struct("squared", "id", "label")).alias("first"))
-            .select(F.col("features").alias("_vector"), F.col("first.label").alias(output))
-        )
-        return spread_join(keyed, nearest, "_vector", [key]).drop("_vector")
-
 
 def fit_nearest(
     train: DataFrame,
     features: str = "features",
     label: str = "label",
     key: str = "id",
-    ship_numbers: int = SHIP_NUMBERS,
-    tile_rows: int = TILE_ROWS,
+    max_train_rows: int = C.TRAINING_CAP,
 ) -> NearestNeighbour:
-    """Repeats of a vector are dropped first, the smallest id kept, so copies cost nothing."""
+    """A model of at most `max_train_rows` rows, the first in hash order of `key`.
+
+    Rows without a vector teach nothing. Repeats of a vector are dropped, the smallest id kept.
+    """
+    some = cap_rows(train.where(F.col(features).isNotNull()), max_train_rows, key)
     distinct = (
-        train.select(
+        some.select(
             F.col(features).cast("array<double>").alias("features"),
             F.struct(F.col(key).alias("id"), F.col(label).cast("string").alias("label")).alias("r"),
         )
@@ -219,4 +99,4 @@ def fit_nearest(
         .agg(F.min("r").alias("r"))
         .select("features", "r.id", "r.label")
     )
-    return NearestNeighbour.over(written(distinct, "neighbours"), ship_numbers, tile_rows)
+    return NearestNeighbour(written(distinct, "neighbours"))

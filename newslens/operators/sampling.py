@@ -1,21 +1,18 @@
-"""Reproducible sampling by a hash of the row's key: stratified split and row cap.
+"""Reproducible sampling by a hash of the row's key: splits and row cap.
 
-Both follow one order: by the hash, then by the key. No sort of all rows takes place. Counts per
+Stratified split and cap follow one order: by the hash, then by the key. No sort of all rows takes place. Counts per
 hash bucket show in which bucket a quota ends; only the keys of that bucket are put in order.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newslens import constants as C
+from newslens.session import written
 
 _BUCKET_BITS = 16
-# Strata are the classes of a classifier; this many at most come to the driver.
-MAX_STRATA = 1000
 _CONTENT = "_content"
 
 
@@ -26,65 +23,70 @@ def key_hash(key: Column | str, seed: int = C.SEED) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
-@dataclass(frozen=True)
-class _Cut:
-    """Where a stratum's quota ends: the last key taken, and the rows before that key."""
+def _keys(df: DataFrame, stratum: Column, key: str, seed: int) -> DataFrame:
+    """(stratum, key, hash, bucket) of every row, written: it is read twice."""
+    rows = df.select(
+        stratum.alias("stratum"), F.col(key).alias("key"), key_hash(key, seed).alias("hash")
+    )
+    return written(rows, "keys").withColumn("bucket", F.shiftright("hash", 32 - _BUCKET_BITS))
 
-    stratum: object
-    last_hash: int
-    last_key: object
-    rows_before: int
-    rows_at: int
 
+def _cuts(rows: DataFrame, quotas: DataFrame) -> DataFrame:
+    """(stratum, last_hash, last_key, rows_before, rows_at): where each stratum's quota ends.
 
-def _cuts(df: DataFrame, stratum: Column, key: str, quota, seed: int) -> list[_Cut]:
-    """One cut per stratum with a quota above 0; `quota` maps a row count to rows to take."""
-    rows = df.select(
-        stratum.alias("stratum"), F.col(key).alias("key"), key_hash(key, seed).alias("hash")
-    ).withColumn("bucket", F.shiftright("hash", 32 - _BUCKET_BITS))
+    `quotas` is (stratum, quota), one row per stratum; a stratum without a quota above 0 has no row.
+    """
     buckets = rows.groupBy("stratum", "bucket").agg(F.count("*").alias("n"))
-    every = Window.partitionBy("stratum")
-    until = every.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    until = Window.partitionBy("stratum").orderBy("bucket")
+    quotas = quotas.select(F.col("stratum").alias("of"), "quota").where("quota > 0")
     ends = (
-        buckets.withColumns({"upto": F.sum("n").over(until), "total": F.sum("n").over(every)})
-        .withColumn("quota", quota(F.col("total")))
+        buckets.withColumn("upto", F.sum("n").over(until))
+        .join(quotas, F.col("stratum").eqNullSafe(F.col("of")))
         .where((F.col("upto") - F.col("n") < F.col("quota")) & (F.col("quota") <= F.col("upto")))
-        .select("stratum", "bucket", "quota", (F.col("upto") - F.col("n")).alias("before"))
-        .limit(MAX_STRATA + 1)
-        .collect()
+        .select("of", F.col("bucket").alias("in_bucket"), "quota", (F.col("upto") - F.col("n")).alias("offset"))
     )
-    if len(ends) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata")
-    if not ends:
-        return []
-    in_cut = F.lit(False)
-    offset = F.lit(0)
-    wanted = F.lit(0)
-    for end in ends:
-        here = F.col("stratum").eqNullSafe(F.lit(end.stratum))
-        in_cut = in_cut | (here & (F.col("bucket") == end.bucket))
-        offset = F.when(here, F.lit(end.before)).otherwise(offset)
-        wanted = F.when(here, F.lit(end.quota)).otherwise(wanted)
-    ordered = Window.partitionBy("stratum").orderBy("hash", "key")
-    upto = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    last = (
-        rows.where(in_cut)
-        .groupBy("stratum", "hash", "key")
+    inside = F.col("stratum").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("in_bucket"))
+    upto = F.sum("n").over(Window.partitionBy("stratum").orderBy("hash", "key"))
+    return (
+        rows.join(ends, inside)
+        .groupBy("stratum", "hash", "key", "quota", "offset")
         .agg(F.count("*").alias("n"))
-        .withColumn("before", upto + offset - F.col("n"))
-        .where((F.col("before") < wanted) & (wanted <= F.col("before") + F.col("n")))
-        .collect()
+        .withColumn("before", upto + F.col("offset") - F.col("n"))
+        .where((F.col("before") < F.col("quota")) & (F.col("quota") <= F.col("before") + F.col("n")))
+        .select(
+            "stratum", F.col("hash").alias("last_hash"), F.col("key").alias("last_key"),
+            F.col("before").alias("rows_before"), F.col("n").alias("rows_at"),
+        )
+    )
+
+
+def _test_quotas(rows: DataFrame, test: float) -> DataFrame:
+    """(stratum, quota): ceil(test * n) rows in all, dealt to the strata by largest remainder."""
+    sizes = rows.groupBy("stratum").agg(F.count("*").cast("decimal(19,0)").alias("n"))
+    every = Window.partitionBy(F.lit(0))  # one row per label
+    total = F.sum("n").over(every)
+    shares = sizes.withColumn("total", total).withColumn(
+        "wanted", F.ceil(F.col("total").cast("double") * test - 1e-9).cast("decimal(19,0)")
+    )
+    dealt = shares.withColumn("floor", F.expr("n * wanted div total")).withColumn(
+        "rest", F.expr("n * wanted - floor * total")
+    )
+    rank = F.row_number().over(every.orderBy(F.col("rest").desc(), F.col("stratum").asc()))
+    left = F.col("wanted") - F.sum("floor").over(every)
+    return dealt.withColumn("rank", rank).withColumn("left", left).select(
+        "stratum", (F.col("floor") + F.when(F.col("rank") <= F.col("left"), 1).otherwise(0)).cast("bigint").alias("quota")
     )
-    return [_Cut(r.stratum, r.hash, r.key, r.before, r.n) for r in last]
 
 
 def _position(key: str, seed: int) -> Column:
     return F.struct(key_hash(key, seed).alias("hash"), F.col(key).alias("key"))
 
 
-def _at(cut: _Cut) -> Column:
-    last_hash = F.lit(cut.last_hash).cast("bigint")
-    return F.struct(last_hash.alias("hash"), F.lit(cut.last_key).alias("key"))
+def hash_split(
+    df: DataFrame, key: str = "link", test: float = C.TEST_SHARE, seed: int = C.SEED
+) -> DataFrame:
+    """Adds is_test. Each row decides for itself by its hash: nothing moves, shares are about right."""
+    return df.withColumn("is_test", key_hash(key, seed) < F.lit(test * 2.0**32))
 
 
 def stratified_split(
@@ -93,32 +95,36 @@ def stratified_split(
     key: str = "link",
     test: float = C.TEST_SHARE,
     seed: int = C.SEED,
-    exact: bool = False,
 ) -> DataFrame:
-    """Adds is_test. All rows of one key fall on one side.
+    """Adds is_test: ceil(test * n) rows, and of every label its share of them.
 
-    By default each row decides for itself by its hash, so every label gets close to its share
-    and nothing is shuffled. With `exact`, which runs two small jobs at once, exactly
-    round(test * n) rows of each label are test, or up to the repeats of one key more.
+    Of a label, the first keys in hash order are test. All rows of one key and label fall on one
+    side, so a repeated key at the cut adds its other rows. The cuts are a table with a row per
+    label, joined to the rows.
     """
-    if not exact:
-        return df.withColumn("is_test", key_hash(key, seed) < F.lit(test * 2.0**32))
-    is_test = F.lit(False)
-    for cut in _cuts(df, F.col(label), key, lambda total: F.round(total * test), seed):
-        inside = _position(key, seed) <= _at(cut)
-        is_test = F.when(F.col(label).eqNullSafe(F.lit(cut.stratum)), inside).otherwise(is_test)
-    return df.withColumn("is_test", is_test)
+    rows = _keys(df, F.col(label), key, seed)
+    # Written so that its size is known: it is broadcast where it is small.
+    cuts = written(_cuts(rows, _test_quotas(rows, test)).select("stratum", "last_hash", "last_key"), "cuts")
+    inside = _position(key, seed) <= F.struct(F.col("last_hash").alias("hash"), F.col("last_key").alias("key"))
+    return (
+        df.join(cuts, F.col(label).eqNullSafe(F.col("stratum")), "left")
+        .withColumn("is_test", F.coalesce(inside, F.lit(False)))
+        .drop("stratum", "last_hash", "last_key")
+    )
 
 
 def cap_rows(
     df: DataFrame, n: int = C.TRAINING_CAP, key: str = "link", seed: int = C.SEED
 ) -> DataFrame:
     """The first `n` rows in hash order, or all if there are fewer; runs two small jobs at once."""
-    cuts = _cuts(df, F.lit("all"), key, lambda total: F.least(F.lit(n), total), seed)
-    if not cuts:
+    rows = _keys(df, F.lit("all"), key, seed)
+    quota = rows.groupBy("stratum").agg(F.least(F.lit(n), F.count("*")).alias("quota"))
+    cut = _cuts(rows, quota).first()
+    if cut is None:
         return df.limit(0)
-    cut = cuts[0]
-    position, at, left = _position(key, seed), _at(cut), n - cut.rows_before
+    last_hash = F.lit(cut.last_hash).cast("bigint").alias("hash")
+    at = F.struct(last_hash, F.lit(cut.last_key).alias("key"))
+    position, left = _position(key, seed), n - cut.rows_before
     if cut.rows_at <= left:
         return df.where(position <= at)
     # The last key has more rows than are left to take: its rows are put in order by content.

@@ -11,8 +11,8 @@ from newslens import constants as C
 
 
 def model_accuracy(predictions: DataFrame) -> DataFrame:
-    """(model, accuracy): the share of rows whose prediction equals their label."""
-    hit = (F.col("prediction") == F.col("label")).cast("double")
+    """(model, accuracy): the share of rows whose prediction equals their label; null is wrong."""
+    hit = F.coalesce((F.col("prediction") == F.col("label")).cast("double"), F.lit(0.0))
     return predictions.groupBy("model").agg(F.avg(hit).alias("accuracy"))
 
 

@@ -217,11 +217,35 @@ PARITY_COLUMNS = "link, " + ", ".join(_VECTOR_ITEMS)
 
 
 # Labelled links by side of the split; the rows asked about are the held-out ones, or all links.
-SIDES = f"""
-sides AS (SELECT link, label, {VECTOR_LIST} AS x, {IS_TEST.format(key="link")} AS is_test
-          FROM labeled),
+# ceil(0.2 n) rows in all, each label's part by largest remainder, the first in hash order.
+QUOTAS = """
+sizes AS (SELECT label, count(*) AS n FROM {rows} GROUP BY label),
+dealt AS (SELECT label, n, CAST(ceil(sum(n) OVER () * 0.2) AS BIGINT) AS wanted, sum(n) OVER () AS total FROM sizes),
+parts AS (SELECT *, n * wanted // total AS floor_, n * wanted % total AS rest FROM dealt),
+quotas AS (SELECT label, floor_ + CASE WHEN row_number() OVER (ORDER BY rest DESC, label)
+  <= wanted - sum(floor_) OVER () THEN 1 ELSE 0 END AS quota FROM parts)
+"""
+STRATIFIED = (
+    "row_number() OVER (PARTITION BY label ORDER BY " + HASH.format(key="link") + ", link) <= quota"
+)
+SIDES = f"""{QUOTAS.format(rows="labeled")},
+sides AS (SELECT link, label, {VECTOR_LIST} AS x, {STRATIFIED} AS is_test
+          FROM labeled JOIN quotas USING (label)),
 train AS (SELECT link, label, x FROM sides WHERE NOT is_test)
 """
+SCORED = """SELECT g.link, n.prediction AS knn, g.prediction AS naiveBayes,
+  CAST(n.prediction = 'fake' AS BIGINT) + CAST(g.prediction = 'fake' AS BIGINT) AS fake_votes,
+  CAST(n.prediction = 'real' AS BIGINT) + CAST(g.prediction = 'real' AS BIGINT) AS real_votes,
+  CASE WHEN n.prediction = 'fake' AND g.prediction = 'fake' THEN 'fake' ELSE 'real' END
+    AS credibility
+  FROM gaussian g JOIN nearest_link n ON n.link = g.link"""
+# Every right model gives these rows their label.
+MARGIN = f"""
+margin AS (SELECT 'e' || event_id AS link, CASE WHEN event_id % 3 = 0 THEN 'fake' ELSE 'real' END AS label FROM events),
+{QUOTAS.format(rows="margin")},
+margin_test AS (SELECT link, label FROM margin JOIN quotas USING (label) QUALIFY {STRATIFIED})
+"""
+MODELS = "(SELECT unnest(['knn', 'lr', 'decisionTree', 'randomForest', 'naiveBayes', 'sgd', 'xgb']) AS model)"
 HELD_OUT = "asked AS (SELECT link, label, x FROM sides WHERE is_test)"
 ALL_LINKS = f"""
 asked AS (SELECT link, CAST(NULL AS VARCHAR) AS label, {VECTOR_LIST} AS x FROM vectors)
@@ -394,16 +418,12 @@ def oracle_sql() -> dict[str, str]:
             *ALL_FEATURES, LABELED, select=f"SELECT {PARITY_COLUMNS}, label FROM labeled"
         ),
         "stratified_split": _with(
-            *ALL_FEATURES,
-            LABELED,
-            select=f"SELECT link, label, {IS_TEST.format(key='link')} AS is_test FROM labeled",
+            *ALL_FEATURES, LABELED, SIDES, select="SELECT link, label, is_test FROM sides"
         ),
-        "stratified_split_exact": _with(
+        "hash_split": _with(
             *ALL_FEATURES,
             LABELED,
-            select=f"""SELECT link, label,
-              row_number() OVER (PARTITION BY label ORDER BY {HASH.format(key='link')}, link)
-                <= round(count(*) OVER (PARTITION BY label) * 0.2) AS is_test FROM labeled""",
+            select=f"SELECT link, label, {IS_TEST.format(key='link')} AS is_test FROM labeled",
         ),
         "training_cap": _with(
             *ALL_FEATURES,
@@ -450,6 +470,41 @@ def oracle_sql() -> dict[str, str]:
             select="""SELECT 'naiveBayes' AS model,
               avg(CAST(prediction = label AS DOUBLE)) AS accuracy FROM gaussian""",
         ),
+        "score_links_for": _with(
+            *ALL_FEATURES,
+            LABELED,
+            SIDES,
+            ALL_LINKS,
+            GAUSSIAN,
+            NEAREST_LINK,
+            select=SCORED
+            + " WHERE g.link IN (SELECT news_url FROM news_labels WHERE credibility = 'fake')",
+        ),
+        "margin_tree": _with(MARGIN, select="SELECT link, label, label AS prediction FROM margin_test"),
+        "margin_forest": _with(MARGIN, select="SELECT link, label, label AS prediction FROM margin_test"),
+        "margin_logistic": _with(MARGIN, select="SELECT link, label, label AS prediction FROM margin_test"),
+        "margin_linear_svc": _with(MARGIN, select="SELECT link, label, label AS prediction FROM margin_test"),
+        "margin_gbt": _with(MARGIN, select="SELECT link, label, label AS prediction FROM margin_test"),
+        "margin_all_predictions": _with(
+            MARGIN,
+            select=f"SELECT link, label, model, label AS prediction FROM margin_test, {MODELS}",
+        ),
+        "margin_accuracy_table": f"SELECT model, 1.0::DOUBLE AS accuracy, model <> 'sgd' AS reported FROM {MODELS}",
+        "margin_verdicts": _with(
+            MARGIN,
+            select="""SELECT link, label AS credibility,
+              CASE WHEN label = 'fake' THEN 7 ELSE 0 END::BIGINT AS fake_votes,
+              CASE WHEN label = 'real' THEN 7 ELSE 0 END::BIGINT AS real_votes,
+              label AS knn, label AS lr, label AS "decisionTree", label AS "randomForest",
+              label AS "naiveBayes", label AS xgb FROM margin""",
+        ),
+        "csv_prepared_users_roundtrip": _with(
+            STATUS_USERS,
+            select="""SELECT u.* EXCLUDE (created_at),
+              CAST(floor((epoch(TIMESTAMP '2024-02-01 00:00:00')
+                - epoch(date_trunc('second', e.ts))) / 86400) AS INT) AS account_age
+              FROM status_users u JOIN event_users e ON u.tweetid = CAST(e.event_id AS VARCHAR)""",
+        ),
         "score_links_knn_nb": _with(
             *ALL_FEATURES,
             LABELED,
@@ -457,13 +512,6 @@ def oracle_sql() -> dict[str, str]:
             ALL_LINKS,
             GAUSSIAN,
             NEAREST_LINK,
-            select="""SELECT g.link, n.prediction AS knn, g.prediction AS naiveBayes,
-              CAST(n.prediction = 'fake' AS BIGINT) + CAST(g.prediction = 'fake' AS BIGINT)
-                AS fake_votes,
-              CAST(n.prediction = 'real' AS BIGINT) + CAST(g.prediction = 'real' AS BIGINT)
-                AS real_votes,
-              CASE WHEN n.prediction = 'fake' AND g.prediction = 'fake' THEN 'fake'
-                   ELSE 'real' END AS credibility
-              FROM gaussian g JOIN nearest_link n ON n.link = g.link""",
+            select=SCORED,
         ),
     }

@@ -20,6 +20,8 @@ from pyspark.ml.classification import (
     LogisticRegressionModel,
     NaiveBayes,
     NaiveBayesModel,
+    OneVsRest,
+    OneVsRestModel,
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
@@ -36,17 +38,22 @@ from newslens.operators.votes import model_accuracy
 from newslens.plans.features import assemble
 from newslens.session import enable_checkpoints, written
 
-# Trees grow until pure, as far as Spark allows.
+# Trees grow until pure, as far as Spark allows; at most one leaf for each training row.
 _MAX_DEPTH = 30
 _MAX_BINS = 128
-_ROWS_PER_TASK = 10_000
+# Training rows are bounded, so their partitions are a fixed number: by a hash of the link and in
+# its order, as bagging draws per partition.
+_TRAIN_PARTITIONS = 4
 
 
-def _estimators(rows: int) -> dict[str, Estimator]:
-    """Estimator per voter; the nearest-neighbour model is fitted apart."""
+def _estimators(rows: int, labels: int = 2) -> dict[str, Estimator]:
+    """Estimator per voter; the nearest-neighbour model is fitted apart.
+
+    Hinge and boosting know two labels; for more, one model for each label decides against the rest.
+    """
     common = {"featuresCol": "vector", "labelCol": "index"}
     tree = {"maxBins": _MAX_BINS, "seed": C.SEED, "cacheNodeIds": True, "checkpointInterval": 10}
-    return {
+    made = {
         # L2 with C = 1: the penalty is shared out over the rows, as the loss is a mean.
         "lr": LogisticRegression(
             regParam=1.0 / max(1, rows), elasticNetParam=0.0, standardization=False, **common
@@ -65,15 +72,23 @@ def _estimators(rows: int) -> dict[str, Estimator]:
         "sgd": LinearSVC(regParam=1e-4, standardization=False, **common),
         "xgb": GBTClassifier(maxIter=100, maxDepth=6, stepSize=0.3, **tree, **common),
     }
+    if labels > 2:
+        for name in ("sgd", "xgb"):
+            made[name] = OneVsRest(classifier=made[name], **common)
+    return made
 
 
 _MODEL_CLASSES = {
-    "lr": LogisticRegressionModel,
-    "decisionTree": DecisionTreeClassificationModel,
-    "randomForest": RandomForestClassificationModel,
-    "naiveBayes": NaiveBayesModel,
-    "sgd": LinearSVCModel,
-    "xgb": GBTClassificationModel,
+    kind.__name__: kind
+    for kind in (
+        DecisionTreeClassificationModel,
+        GBTClassificationModel,
+        LinearSVCModel,
+        LogisticRegressionModel,
+        NaiveBayesModel,
+        OneVsRestModel,
+        RandomForestClassificationModel,
+    )
 }
 
 
@@ -86,26 +101,27 @@ class ModelSet:
     accuracy: dict[str, float] = field(default_factory=dict)
 
     def save(self, path: str) -> None:
+        """Into a folder that holds no model set yet; an existing one raises."""
+        spark = SparkSession.active()
+        kinds = {name: type(model).__name__ for name, model in self.fitted.items()}
+        facts = {"labels": self.labels, "models": kinds, "accuracy": self.accuracy}
+        text = spark.range(0, 1, 1, 1).select(F.lit(json.dumps(facts)).alias("value"))
+        text.write.text(f"{path}/facts")
         for name, model in self.fitted.items():
             if isinstance(model, NearestNeighbour):
-                model.train.write.mode("overwrite").parquet(f"{path}/{name}")
-                spark = model.train.sparkSession
+                model.train.write.parquet(f"{path}/{name}")
             else:
-                model.write().overwrite().save(f"{path}/{name}")
-                spark = SparkSession.active()
-        facts = {"labels": self.labels, "models": list(self.fitted), "accuracy": self.accuracy}
-        text = spark.range(0, 1, 1, 1).select(F.lit(json.dumps(facts)).alias("value"))
-        text.write.mode("overwrite").text(f"{path}/facts")
+                model.write().save(f"{path}/{name}")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> ModelSet:
         facts = json.loads(spark.read.text(f"{path}/facts").first().value)
         fitted = {}
-        for name in facts["models"]:
-            if name == "knn":
-                fitted[name] = NearestNeighbour.over(spark.read.parquet(f"{path}/{name}"))
+        for name, kind in facts["models"].items():
+            if kind == NearestNeighbour.__name__:
+                fitted[name] = NearestNeighbour(spark.read.parquet(f"{path}/{name}"))
             else:
-                fitted[name] = _MODEL_CLASSES[name].load(f"{path}/{name}")
+                fitted[name] = _MODEL_CLASSES[kind].load(f"{path}/{name}")
         return cls(facts["labels"], fitted, facts["accuracy"])
 
 
@@ -115,29 +131,35 @@ def with_vector(df: DataFrame) -> DataFrame:
 
 
 def fit_models(
-    train: DataFrame, voters: Iterable[str] = C.VOTERS, parallelism: int = 4
+    train: DataFrame,
+    voters: Iterable[str] = C.VOTERS,
+    parallelism: int = 4,
+    max_train_rows: int = C.TRAINING_CAP,
 ) -> ModelSet:
-    """Fits each voter on (link, label, features).
+    """Fits each voter on (link, label, features), on at most `max_train_rows` labelled rows.
 
-    Every fit passes over its rows many times, so they are written to the shared folder once,
-    as vectors; fits run side by side, as each alone leaves executors idle between its steps.
+    The bound holds for all voters: it keeps trees, which grow until pure, and the table of the
+    nearest-neighbour voter small enough for the driver and every executor. Of more rows the first in hash
+    order are taken. Every fit passes over its rows many times, so they are written to the shared
+    folder once, as vectors; fits run side by side, as each alone leaves executors idle between its
+    steps.
     """
     voters = list(voters)
     spark = train.sparkSession
     enable_checkpoints(spark)
-    known = written(with_vector(train.where(F.col("label").isNotNull())), "training")
+    usable = train.where(F.col("label").isNotNull() & F.col("features").isNotNull())
+    known = written(with_vector(cap_rows(usable, max_train_rows)), "training")
     count = known.count()
-    # Small sets gain nothing from many partitions: a fit is hundreds of short jobs.
-    known = known.coalesce(max(1, -(-count // _ROWS_PER_TASK)))
+    known = known.repartition(_TRAIN_PARTITIONS, "link").sortWithinPartitions("link")
     indexer = StringIndexer(
         inputCol="label", outputCol="index", stringOrderType="alphabetAsc"
     ).fit(known)
     rows = indexer.transform(known)
-    estimators = _estimators(count)
+    estimators = _estimators(count, len(indexer.labels))
 
     def fit(name: str):
         if name == "knn":
-            return fit_nearest(known, key="link")
+            return fit_nearest(known, key="link", max_train_rows=max_train_rows)
         model = estimators[name].fit(rows)
         for output in ("rawPredictionCol", "probabilityCol"):
             if model.hasParam(output):
@@ -186,25 +208,24 @@ def accuracy_table(models: ModelSet, test: DataFrame) -> DataFrame:
 
 
 def training_set(
-    features: DataFrame, labels: DataFrame, cap: int | None = None, exact: bool = False
+    features: DataFrame, labels: DataFrame, cap: int | None = C.TRAINING_CAP
 ) -> DataFrame:
     """(link, label, features, is_test), written to the shared folder; unlabelled rows dropped."""
     labelled = written(label_features(assemble(features), labels), "labelled")
     if cap is not None:
         labelled = cap_rows(labelled, cap)
-    return stratified_split(labelled, exact=exact)
+    return stratified_split(labelled)
 
 
 def train_models(
     features: DataFrame,
     labels: DataFrame,
     voters: Iterable[str] = C.VOTERS,
-    cap: int | None = None,
-    exact: bool = False,
+    cap: int | None = C.TRAINING_CAP,
     parallelism: int = 4,
 ) -> ModelSet:
     """Split, fit and measure: the model set that scoring needs."""
-    rows = training_set(features, labels, cap, exact)
+    rows = training_set(features, labels, cap)
     models = fit_models(rows.where(~F.col("is_test")), voters, parallelism)
     table = accuracy_table(models, rows.where("is_test"))
     models.accuracy = {row.model: row.accuracy for row in table.collect()}  # one row per model

@@ -17,12 +17,18 @@ from newslens.operators.accounts import tagged_ids
 from newslens.operators.dedupe import dedupe_posts, dedupe_users
 from newslens.operators.labels import label_features
 from newslens.operators.nearest import fit_nearest
-from newslens.operators.sampling import cap_rows, stratified_split
+from newslens.operators.sampling import cap_rows, hash_split, stratified_split
 from newslens.operators.sentiment import score_sentiment, with_sentiment_bins
-from newslens.operators.votes import majority_vote, model_accuracy, verdict
+from newslens.operators.votes import majority_vote, model_accuracy, verdict, verdict_of_row
 from newslens.plans.features import assemble, link_features, scored_posts
 from newslens.plans.scoring import score_links
-from newslens.plans.training import ModelSet, accuracy_table, fit_models, predict_all
+from newslens.plans.training import (
+    ModelSet,
+    accuracy_table,
+    fit_models,
+    predict_all,
+    predict_wide,
+)
 from newslens.session import fresh_path, written
 from newslens.sources.lookups import (
     flatten_status,
@@ -185,6 +191,13 @@ def _csv_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_users(spark, f"{path}/*.csv")
 
 
+def _csv_prepared_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "prepared-users-csv")
+    as_of = F.lit(f"{X.AS_OF} 00:00:00+00:00").cast("timestamp")
+    write_users(with_account_age(statuses_with_user(X.statuses(spark, sf_dir)), as_of), path)
+    return read_users(spark, f"{path}/*.csv")
+
+
 def _csv_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "features-csv")
     write_features(features(spark, sf_dir), path)
@@ -223,44 +236,30 @@ def _labeled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _training_set(spark: SparkSession, sf_dir: str, exact: bool = False) -> DataFrame:
-    """The labelled vectors with their side of the split, written once per session and folder."""
-    held = _held(spark, sf_dir)
-    if "labelled" not in held:
-        held["labelled"] = written(_labelled(spark, sf_dir), "labelled")
-    return stratified_split(held["labelled"], exact=exact)
+def _training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled vectors with their side of the split."""
+    return stratified_split(written(_labelled(spark, sf_dir), "labelled"))
 
 
 def _training_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cap_rows(_training_set(spark, sf_dir), 100).select("link", "label")
-
-
-_session_held: dict[tuple[str, str], dict] = {}
+    return cap_rows(written(_labelled(spark, sf_dir), "labelled"), 100).select("link", "label")
 
 
-def _held(spark: SparkSession, sf_dir: str) -> dict:
-    return _session_held.setdefault((spark.sparkContext.applicationId, sf_dir), {})
+def _split_and_fit(rows: DataFrame, voters: tuple[str, ...]) -> tuple[ModelSet, DataFrame]:
+    """Models of the training side, and the test side."""
+    rows = written(rows, "split")
+    models = fit_models(rows.where(~F.col("is_test")), voters)
+    return models, rows.where("is_test").drop("is_test")
 
 
-def _models(spark: SparkSession, sf_dir: str, voters: tuple[str, ...]) -> ModelSet:
-    """Models are fitted once per session and folder, as a long-lived scoring service would."""
-    held = _held(spark, sf_dir).setdefault("models", {})
-    missing = [v for v in voters if v not in held]
-    if missing:
-        train = _training_set(spark, sf_dir).where(~F.col("is_test"))
-        new = fit_models(train, missing)
-        held.update({v: (new.labels, new.fitted[v]) for v in missing})
-    return ModelSet(held[voters[0]][0], {v: held[v][1] for v in voters})
+def _margin_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stratified_split(X.margin_rows(spark, sf_dir))
 
 
-def _test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _training_set(spark, sf_dir).where("is_test").drop("is_test")
-
-
-def _predictions(*voters: str) -> Query:
+def _predictions(*voters: str, of: Query = _training_set) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        models = _models(spark, sf_dir, voters)
-        found = predict_all(models, _test_rows(spark, sf_dir))
+        models, test = _split_and_fit(of(spark, sf_dir), voters)
+        found = predict_all(models, test)
         return found if len(voters) > 1 else found.drop("model")
 
     return query
@@ -268,24 +267,38 @@ def _predictions(*voters: str) -> Query:
 
 def _hold_out_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One model's accuracy on the held-out rows."""
-    models = _models(spark, sf_dir, ("naiveBayes",))
-    return model_accuracy(predict_all(models, _test_rows(spark, sf_dir)))
+    models, test = _split_and_fit(_training_set(spark, sf_dir), ("naiveBayes",))
+    return model_accuracy(predict_all(models, test))
+
+
+def _accuracy_table(of: Query) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return accuracy_table(*_split_and_fit(of(spark, sf_dir), C.VOTERS))
+
+    return query
 
 
-def _accuracy_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = _models(spark, sf_dir, C.VOTERS)
-    return accuracy_table(models, _test_rows(spark, sf_dir))
+def _margin_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven voters on every row, their votes and the verdict."""
+    models, _ = _split_and_fit(_margin_set(spark, sf_dir), C.VOTERS)
+    wide = predict_wide(models, X.margin_rows(spark, sf_dir))
+    return _flat_verdict(verdict_of_row(wide, {}))
 
 
-def _score_links(*voters: str) -> Query:
-    """Verdicts on all links, trained on the labelled ones."""
+def _score_links(*voters: str, stored: bool = False) -> Query:
+    """Verdicts on all links, trained on the labelled ones; or on given links, from stored models."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        models, _ = _split_and_fit(_training_set(spark, sf_dir), voters)
+        links = None
+        if stored:
+            path = fresh_path(spark, "models")
+            models.save(path)
+            models = ModelSet.load(spark, path)
+            wanted = X.labels(spark, sf_dir).where("credibility = 'fake'")
+            links = wanted.select(F.col("news_url").alias("link"))
         scored = score_links(
-            X.posts(spark, sf_dir),
-            X.repeated_users(spark, sf_dir),
-            X.lexicon(spark),
-            _models(spark, sf_dir, voters),
+            X.posts(spark, sf_dir), X.repeated_users(spark, sf_dir), X.lexicon(spark), models, links
         )
         return _flat_verdict(scored, voters)
 
@@ -301,7 +314,7 @@ def _flat_verdict(verdicts: DataFrame, voters: tuple[str, ...] = C.VOTERS) -> Da
 
 
 def _knn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stratified_split(
+    rows = hash_split(
         X.table(spark, sf_dir, "embeddings").select(
             "vec_id",
             F.col("embedding").cast("array<double>").alias("features"),
@@ -310,7 +323,7 @@ def _knn(spark: SparkSession, sf_dir: str) -> DataFrame:
         key="vec_id",
     )
     model = fit_nearest(rows.where(~F.col("is_test")), key="vec_id")
-    return model.predict(rows.where("is_test"), key="vec_id").select(
+    return model.predict(rows.where("is_test")).select(
         "vec_id", "label", "prediction"
     )
 
@@ -347,13 +360,14 @@ def queries() -> dict[str, Query]:
         "parse_int_list": _parse_int_list,
         "csv_posts_roundtrip": _csv_posts,
         "csv_users_roundtrip": _csv_users,
+        "csv_prepared_users_roundtrip": _csv_prepared_users,
         "csv_features_roundtrip": _csv_features,
         "labels_scan": _labels_scan,
         "text_scan": _text_scan,
         "union_sources": _union_sources,
         "labeled_features": _labeled_features,
         "stratified_split": lambda s, d: _training_set(s, d).drop("features"),
-        "stratified_split_exact": lambda s, d: _training_set(s, d, True).drop("features"),
+        "hash_split": lambda s, d: hash_split(_labelled(s, d)).drop("features"),
         "training_cap": _training_cap,
         "knn_1": _knn,
         "model_accuracy": _model_accuracy,
@@ -368,7 +382,16 @@ def queries() -> dict[str, Query]:
         "predict_linear_svc": _predictions("sgd"),
         "predict_gbt": _predictions("xgb"),
         "all_predictions": _predictions(*C.VOTERS),
-        "accuracy_table": _accuracy_table,
+        "accuracy_table": _accuracy_table(_training_set),
+        "margin_tree": _predictions("decisionTree", of=_margin_set),
+        "margin_forest": _predictions("randomForest", of=_margin_set),
+        "margin_logistic": _predictions("lr", of=_margin_set),
+        "margin_linear_svc": _predictions("sgd", of=_margin_set),
+        "margin_gbt": _predictions("xgb", of=_margin_set),
+        "margin_all_predictions": _predictions(*C.VOTERS, of=_margin_set),
+        "margin_accuracy_table": _accuracy_table(_margin_set),
+        "margin_verdicts": _margin_verdicts,
         "score_links_knn_nb": _score_links("knn", "naiveBayes"),
+        "score_links_for": _score_links("knn", "naiveBayes", stored=True),
         "score_links": _score_links(*C.VOTERS),
     }

@@ -39,6 +39,11 @@ USER_SCHEMA = _struct(
     ("default_profile_image", BOOLEAN),
 )
 
+# A prepared file has the age in days in the place of the time of creation.
+PREPARED_USER_SCHEMA = T.StructType(
+    [T.StructField("account_age", INT) if f.name == "created_at" else f for f in USER_SCHEMA.fields]
+)
+
 # Fields of a raw status that are kept; `user` may be missing.
 STATUS_SCHEMA = _struct(
     ("id", LONG),

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from newslens import constants as C
 from newslens.functions.arrays import parse_int_list
-from newslens.schemas import POST_SCHEMA, USER_SCHEMA
+from newslens.schemas import POST_SCHEMA, PREPARED_USER_SCHEMA, USER_SCHEMA
 
 _BOM = "\ufeff"
 # Stands for a missing value while a line is parsed; no text holds it. With it, an empty field is
@@ -54,8 +54,13 @@ def read_posts(spark: SparkSession, path: str, multi_line: bool = False) -> Data
 
 
 def read_users(spark: SparkSession, path: str) -> DataFrame:
-    """User snapshots from CSV files under `path`, which may be a glob."""
-    return _typed(_csv(spark, path), USER_SCHEMA)
+    """User snapshots from CSV files under `path`, which may be a glob.
+
+    Raw files have created_at, prepared ones account_age in its place; the header decides.
+    """
+    scan = _csv(spark, path)
+    prepared = "account_age" in scan.columns
+    return _typed(scan, PREPARED_USER_SCHEMA if prepared else USER_SCHEMA)
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
@@ -71,9 +76,12 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_labels(
-    spark: SparkSession, path: str, keep_missing: bool = False, multi_line: bool = True
+    spark: SparkSession, path: str, keep_missing: bool = False, multi_line: bool = False
 ) -> DataFrame:
-    """(news_url, credibility) as text. Rows without a label are dropped, or kept as `nan`."""
+    """(news_url, credibility) as text. Rows without a label are dropped, or kept as `nan`.
+
+    `multi_line` admits line breaks inside other columns, at the price that a file is one task.
+    """
     scan = _csv(spark, path, multi_line).select(
         F.nullif(F.col("news_url"), F.lit("")).alias("news_url"),
         F.nullif(F.col("credibility"), F.lit("")).alias("credibility"),
@@ -86,11 +94,5 @@ def read_labels(
 def read_lines(
     spark: SparkSession, path: str, min_partitions: int = C.TEXT_SCAN_PARTITIONS
 ) -> DataFrame:
-    """Lines of text files in at least `min_partitions` partitions.
-
-    A scan that already has that many splits is left as it is; only a smaller one is spread.
-    """
-    lines = spark.read.text(path)
-    if lines.rdd.getNumPartitions() >= min_partitions:
-        return lines
-    return lines.repartition(min_partitions)
+    """Lines of text files, spread over at least `min_partitions` tasks for what follows."""
+    return spark.read.text(path).repartition(min_partitions)

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import dataclasses
 import random
 
 import pytest
@@ -52,7 +51,7 @@ def test_forest_and_boosting_parameters():
 
 def test_forest_fits_and_is_repeatable(spark):
     features, labels = made_features(spark, 90)
-    rows = training.training_set(features, labels, exact=True)
+    rows = training.training_set(features, labels)
     train, test = rows.where(~F.col("is_test")), rows.where("is_test")
     found = []
     for _ in range(2):
@@ -73,18 +72,22 @@ def test_save_and_load(spark, tmp_path, models):
     assert len(before) == 160 * len(QUICK)
 
 
-def test_neighbours_too_many_to_ship_predict_the_same(spark, models):
-    features, _ = made_features(spark)
-    vectors = training.assemble(features)
-    shipped = models.fitted["knn"]
-    celled = dataclasses.replace(shipped, ship_numbers=0, tile_rows=16)
-    for one, two in zip(
-        *(
-            sorted(training.predict_all(training.ModelSet(models.labels, {"knn": m}), vectors).collect())
-            for m in (shipped, celled)
-        )
-    ):
-        assert one == two
+def test_a_folder_with_models_is_not_overwritten(tmp_path, models):
+    path = str(tmp_path / "models")
+    models.save(path)
+    with pytest.raises(Exception, match="(?i)exists"):
+        models.save(path)
+
+
+def test_three_labels_and_all_seven_voters(spark, tmp_path):
+    data = [(f"l{i}", f"c{i % 3}", [40 * (i % 3 == j % 3) + (i * (j + 1)) % 5 for j in range(6)]) for i in range(150)]
+    df = spark.createDataFrame(data, "link string, label string, features array<bigint>")
+    fitted = training.fit_models(df)
+    fitted.save(str(tmp_path / "seven"))
+    again = training.ModelSet.load(spark, str(tmp_path / "seven"))
+    for models in (fitted, again):
+        found = training.predict_all(models, df).collect()
+        assert len(found) == 150 * 7 and all(r.label == r.prediction for r in found)
 
 
 def test_accuracy_table_flags_the_unreported_model(spark, models):

@@ -246,20 +246,31 @@ def split_sides(df):
 def test_split(spark):
     data = [(f"l{i}", "fake" if i % 4 == 0 else "real") for i in range(2000)]
     df = spark.createDataFrame(data, "link string, label string")
-    sides = split_sides(sampling.stratified_split(df))
+    sides = split_sides(sampling.hash_split(df))
     assert 0.17 < sum(sides.values()) / 2000 < 0.23
-    assert split_sides(sampling.stratified_split(df.repartition(7))) == sides
-    exact = sampling.stratified_split(df, exact=True)
+    assert split_sides(sampling.hash_split(df.repartition(7))) == sides
+    exact = sampling.stratified_split(df)
     counts = {(r.label, r.is_test): r["count"] for r in exact.groupBy("label", "is_test").count().collect()}
     assert counts == {("fake", True): 100, ("fake", False): 400,
                       ("real", True): 300, ("real", False): 1200}
-    assert split_sides(sampling.stratified_split(df.repartition(5), exact=True)) == split_sides(exact)
+    assert split_sides(sampling.stratified_split(df.repartition(5))) == split_sides(exact)
 
 
-def test_exact_split_keeps_repeats_together(spark):
+def test_split_rounds_in_total_and_takes_any_number_of_labels(spark):
+    data = [(f"l{i}", f"c{i % 1500}") for i in range(3007)] + [(f"n{i}", None) for i in range(10)]
+    df = spark.createDataFrame(data, "link string, label string")
+    sides = sampling.stratified_split(df).groupBy("label").agg(
+        F.count_if("is_test").alias("test"), F.count("*").alias("n")
+    ).collect()
+    assert sum(r.test for r in sides) == 604
+    assert all(abs(r.test - r.n * 604 / 3017) < 1 for r in sides)
+    assert sampling.stratified_split(df.limit(0)).count() == 0
+
+
+def test_split_keeps_repeats_together(spark):
     data = [("hot", "fake")] * 500 + [(f"l{i}", "fake") for i in range(500)]
     df = spark.createDataFrame(data, "link string, label string").repartition(6)
-    sides = sampling.stratified_split(df, exact=True).groupBy("link").agg(
+    sides = sampling.stratified_split(df).groupBy("link").agg(
         F.count_distinct("is_test").alias("sides")
     )
     assert sides.where("sides > 1").count() == 0
@@ -292,32 +303,33 @@ def brute_force(train, queries):
     return out
 
 
-@pytest.mark.parametrize("ship,tile", [(10**9, 4096), (0, 4096), (0, 7)])
-def test_nearest_equals_brute_force(spark, ship, tile):
+def test_nearest_equals_brute_force(spark):
     rng = random.Random(5)
     vec = lambda: [rng.randrange(6) for _ in range(5)]
     train = [(i, vec(), f"c{i % 7}") for i in range(300)]
     train += [(1000 + i, [9, 9, 9, 9, 9], f"c{i % 7}") for i in range(200)]
     queries = [(f"q{i}", vec()) for i in range(250)] + [(f"h{i}", [9, 9, 9, 9, 8]) for i in range(120)]
     schema = "id bigint, features array<bigint>, label string"
-    model = fit_nearest(spark.createDataFrame(train, schema), ship_numbers=ship, tile_rows=tile)
-    asked = spark.createDataFrame(queries, "link string, features array<bigint>").repartition(4)
+    rows_ = [*train, (5000, None, "c1")]
+    model = fit_nearest(spark.createDataFrame(rows_, schema))
+    asked = spark.createDataFrame([*queries, ("none", None)], "link string, features array<bigint>").repartition(4)
     got = {r.link: r.prediction for r in model.predict(asked).collect()}
-    assert got == brute_force(train, queries)
+    assert got == brute_force(train, queries) | {"none": None}
 
 
-def test_nearest_by_cells_on_real_valued_vectors(spark):
+def test_nearest_on_real_valued_vectors(spark):
     rng = random.Random(6)
     train = [(i, [rng.gauss(0, 1) for _ in range(8)], f"c{i}") for i in range(400)]
     queries = [(f"q{i}", [rng.gauss(0, 2) for _ in range(8)]) for i in range(150)]
-    model = fit_nearest(
-        spark.createDataFrame(train, "id bigint, features array<double>, label string"),
-        ship_numbers=0,
-        tile_rows=10,
-    )
+    schema = "id bigint, features array<double>, label string"
     asked = spark.createDataFrame(queries, "link string, features array<double>")
+    model = fit_nearest(spark.createDataFrame(train, schema))
     got = {r.link: r.prediction for r in model.predict(asked).collect()}
     assert got == brute_force(train, queries)
+    few = fit_nearest(spark.createDataFrame(train, schema), max_train_rows=40)
+    assert few.train.count() == 40
+    empty = fit_nearest(spark.createDataFrame([], schema))
+    assert {r.prediction for r in empty.predict(asked).collect()} == {None}
 
 
 def made_votes(spark, counts):
