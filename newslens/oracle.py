@@ -358,6 +358,9 @@ def oracle_sql() -> dict[str, str]:
               FROM joined GROUP BY link""",
         ),
         "feature_vector": _with(*ALL_FEATURES, select=f"SELECT {PARITY_COLUMNS} FROM vectors"),
+        "feature_vector_spread": _with(
+            *ALL_FEATURES, select=f"SELECT {PARITY_COLUMNS} FROM vectors"
+        ),
         "merge_arrays": _with(
             *POSTS_TO_BINS,
             select=f"""SELECT split_part(link, '/', 3) AS host, {TEXT_COLUMNS}

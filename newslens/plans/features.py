@@ -39,11 +39,13 @@ def link_features(
     activity: str = "compat",
     verified: str = "groups",
     piece_rows: int = PIECE_ROWS,
+    spread: bool | None = None,
 ) -> DataFrame:
     """(link, textFeatures[12], retweets, userFeatures[23]) of links with a known author.
 
     Posts keep their place in a left join to the binned users, so one aggregate per link yields
-    all three parts at once; links none of whose posts found a user are dropped after it.
+    all three parts at once; links none of whose posts found a user are dropped after it. `spread`
+    is that of the join: whether users are too many to broadcast, by default as Catalyst estimates.
     """
     joined = spread_join(
         scored_posts(posts, lexicon),
@@ -53,6 +55,7 @@ def link_features(
         how="left",
         piece_rows=piece_rows,
         counted=posts.select("tweet_id"),
+        spread=spread,
     )
     return (
         joined.groupBy("link")

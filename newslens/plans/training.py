@@ -44,6 +44,7 @@ _MAX_BINS = 128
 # Training rows are bounded, so their partitions are a fixed number: by a hash of the link and in
 # its order, as bagging draws per partition.
 _TRAIN_PARTITIONS = 4
+_BOOST_ROUNDS = 100
 
 
 def _estimators(rows: int, labels: int = 2) -> dict[str, Estimator]:
@@ -70,7 +71,7 @@ def _estimators(rows: int, labels: int = 2) -> dict[str, Estimator]:
         "naiveBayes": NaiveBayes(modelType="gaussian", **common),
         # Hinge loss with L2 of 1e-4: the objective of a linear SGD classifier.
         "sgd": LinearSVC(regParam=1e-4, standardization=False, **common),
-        "xgb": GBTClassifier(maxIter=100, maxDepth=6, stepSize=0.3, **tree, **common),
+        "xgb": GBTClassifier(maxIter=_BOOST_ROUNDS, maxDepth=6, stepSize=0.3, **tree, **common),
     }
     if labels > 2:
         for name in ("sgd", "xgb"):
@@ -161,9 +162,10 @@ def fit_models(
         if name == "knn":
             return fit_nearest(known, key="link", max_train_rows=max_train_rows)
         model = estimators[name].fit(rows)
-        for output in ("rawPredictionCol", "probabilityCol"):
-            if model.hasParam(output):
-                model.set(model.getParam(output), "")
+        if not isinstance(model, OneVsRestModel):  # which works on its models' raw column
+            for output in ("rawPredictionCol", "probabilityCol"):
+                if model.hasParam(output):
+                    model.set(model.getParam(output), "")
         return model.setPredictionCol(f"_{name}")
 
     with ThreadPoolExecutor(max(1, parallelism)) as pool:
@@ -186,7 +188,7 @@ def predict_wide(models: ModelSet, df: DataFrame) -> DataFrame:
             out = model.predict(out, f"_{name}")
             vote = F.col(f"_{name}")
         else:
-            out = model.transform(out)
+            out = model.transform(out).drop("rawPrediction")
             vote = F.element_at(names, F.col(f"_{name}").cast("int") + 1)
         votes += [F.lit(name), vote]
     return out.select(*kept, F.create_map(*votes).alias("predictions"))

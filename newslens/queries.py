@@ -143,6 +143,15 @@ def _feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_vectors(features(spark, sf_dir))
 
 
+def _feature_vector_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan for more users than a broadcast holds: both sides shuffle, hot posts are cut."""
+    wide = link_features(
+        X.posts(spark, sf_dir), X.repeated_users(spark, sf_dir), X.lexicon(spark),
+        piece_rows=3, spread=True,
+    )
+    return _flat_vectors(wide)
+
+
 def _merge_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_link = H.text_histogram(_scored(spark, sf_dir)).withColumn(
         "host", F.split_part("link", F.lit("/"), F.lit(3))
@@ -352,6 +361,7 @@ def queries() -> dict[str, Query]:
         "user_histogram_by_age": _user_histogram("age", "count"),
         "verified_share": _verified_share,
         "feature_vector": _feature_vector,
+        "feature_vector_spread": _feature_vector_spread,
         "merge_arrays": _merge_arrays,
         "posts_for_links": _posts_for_links,
         "lookup_users": _lookup_users,

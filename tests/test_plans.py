@@ -63,6 +63,17 @@ def test_large_users_meet_posts_without_broadcast(spark, sf_dir, no_broadcast):
     assert "SortMergeJoin" in joins[0] and "_piece" in joins[0]
 
 
+def test_spread_users_take_two_scans_and_few_shuffles(spark, tmp_path, sf_dir):
+    posts_path, users_path = str(tmp_path / "posts"), str(tmp_path / "users")
+    X.posts(spark, sf_dir).write.parquet(posts_path)
+    X.users(spark, sf_dir).write.parquet(users_path)
+    posts, users = spark.read.parquet(posts_path), spark.read.parquet(users_path)
+    text = plan(link_features(posts, users, X.lexicon(spark), spread=True))
+    scans = [line for line in text.splitlines() if "FileScan" in line and str(tmp_path) in line]
+    assert len(scans) == 2
+    assert text.count("Exchange hashpartitioning") <= 6
+
+
 def test_links_filter_is_a_broadcast_semi_join_when_small(spark, sf_dir):
     posts = X.posts(spark, sf_dir)
     links = X.lexicon(spark).selectExpr("word AS link")
