@@ -26,6 +26,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null language is filled with the predicted one.
     """
     ship_package(spark)
+    docs = docs.select(*COLUMNS)
     found = language_id.identify(docs).where(F.col("lang_pred") != language_id.UNKNOWN)
     found = found.groupBy("doc_id").agg(F.min("lang_pred").alias("lang_pred"))
     letters = docs.where(F.col("text").rlike(r"\p{L}"))
@@ -40,6 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Of rows that repeat one id, one stays.
     """
     ship_package(spark)
+    docs = docs.select(*COLUMNS)
     groups = simhash.near_duplicates(docs).where("doc_id = component_id")
     kept = groups.select("doc_id").distinct()
     return docs.dropDuplicates(["doc_id"]).join(kept, "doc_id").select(*COLUMNS)
@@ -47,6 +49,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go."""
+    docs = docs.select(*COLUMNS)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaked = decontaminate.containments(docs, items).select("doc_id").distinct()
     return docs.join(leaked, "doc_id", "left_anti").select(*COLUMNS)
@@ -54,6 +57,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents within their source's budget stay, each once."""
+    docs = docs.select(*COLUMNS)
     return mixing.apply_plan(docs, mixing.mixing_plan(docs, MIX), MIX).select(*COLUMNS)
 
 
