@@ -75,13 +75,22 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _breaks_in_fields(spark: SparkSession, path: str) -> bool:
+    """Whether a line ends inside a quoted field, which leaves it an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
 def read_labels(
-    spark: SparkSession, path: str, keep_missing: bool = False, multi_line: bool = False
+    spark: SparkSession, path: str, keep_missing: bool = False, multi_line: bool | None = None
 ) -> DataFrame:
     """(news_url, credibility) as text. Rows without a label are dropped, or kept as `nan`.
 
     `multi_line` admits line breaks inside other columns, at the price that a file is one task.
+    None looks for such breaks first, in one pass over the lines, so that other files stay split.
     """
+    if multi_line is None:
+        multi_line = _breaks_in_fields(spark, path)
     scan = _csv(spark, path, multi_line).select(
         F.nullif(F.col("news_url"), F.lit("")).alias("news_url"),
         F.nullif(F.col("credibility"), F.lit("")).alias("credibility"),
