@@ -9,6 +9,8 @@ cut by content, so that equal windows meet in one shard and no shard needs anoth
 3. In a shard, the segments' words are indexed (Burrows-Wheeler transform, wavelet matrix), and all
    windows are streamed through backward search. Matching statistics below WINDOW end a window's
    search; an interval at WINDOW holds all its places, the least of which is its first start.
+   Where an anchor has too many segments for one shard, its windows are named by a 128-bit hash, as
+   segments are, and an aggregate with a map-side half finds the first place of each.
 4. A segment's places after the first repeat it whole; at its first place those windows go that
    start earlier in another segment. The intervals are brought to the documents.
 """
@@ -34,7 +36,7 @@ GRAM = 8
 SEGMENT = 64
 # Words that a worker indexes together; a single anchor may hold more, up to HOT segments.
 SHARD_WORDS = 400_000
-# Segments of one anchor beyond which its windows are sharded one by one.
+# Segments of one anchor beyond which its windows are reduced by their hashes, without an index.
 HOT = 10_000
 
 _ODD = np.uint64(0x9FB21C651E98DF25)
@@ -228,36 +230,48 @@ def index_shard(texts: list[list[bytes]], places: np.ndarray, starts: np.ndarray
     return [inside[late[a:b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def repeated_windows(distinct: DataFrame) -> DataFrame:
-    """(k1, k2, offset): windows of distinct segments that start earlier in another segment.
+WINDOWS = "h1 long, h2 long, place long, start long, k1 long, k2 long, offset long"
 
-    `distinct` has (anchor, k1, k2, place, start, words). Anchors with more than HOT segments are
-    sharded by whole windows instead; equal windows still meet, and no shard grows without bound.
-    """
-    hot = written(
-        distinct.groupBy("anchor").agg(F.count("*").alias("many")).where(F.col("many") > HOT).select("anchor", F.lit(True).alias("hot")),
-        "hot",
-    )
 
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["shard", "k1", "k2", "offset", "place", "start", "words"]
-        kinds = [pa.int64()] * 6 + [pa.binary()]
+def _cut_windows(segments: DataFrame) -> DataFrame:
+    """Every window of distinct segments, named by its hash."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [part.split()[0] for part in WINDOWS.split(", ")]
         for batch in batches:
-            rows = []
-            for anchor, k1, k2, place, start, content, hot in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if not hot:
-                    rows.append((anchor, k1, k2, 0, place, start, content))
-                    continue
+            digests, counts = [], []
+            for content in batch.column(4).to_pylist():
                 words = content.split(b" ")
-                for offset in range(len(words) - WINDOW + 1):
-                    window = b" ".join(words[offset : offset + WINDOW])
-                    shard = xxhash.xxh64_intdigest(window) - (1 << 63)
-                    rows.append((shard, k1, k2, offset, place, start + offset, window))
-                if len(rows) > 20_000:
-                    yield _batch(rows, names, kinds)
-                    rows = []
-            if rows:
-                yield _batch(rows, names, kinds)
+                counts.append(len(words) - WINDOW + 1)
+                digests += [xxhash.xxh3_128_digest(b" ".join(words[i : i + WINDOW])) for i in range(counts[-1])]
+            many = np.array(counts, np.int64)
+            k1, k2, place, start = (np.repeat(batch.column(i).to_numpy(), many) for i in range(4))
+            offset = np.arange(len(digests)) - np.repeat(np.cumsum(many) - many, many)
+            h1, h2 = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2).T
+            columns = (h1, h2, place, start + offset, k1, k2, offset)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+    return segments.select("k1", "k2", "place", "start", "words").mapInArrow(cut, WINDOWS)
+
+
+def _late_by_hash(windows: DataFrame) -> DataFrame:
+    """(k1, k2, offset) of the windows that start earlier in another segment.
+
+    Equal windows become one row a task before they move. A window is late unless it stands at its
+    first place, so places are part of the join's key and a frequent window is dealt out.
+    """
+    firsts = windows.groupBy("h1", "h2").agg(F.min(F.struct("place", "start")).alias("at"))
+    firsts = firsts.select("h1", "h2", "at.place", "at.start")
+    return windows.join(firsts, ["h1", "h2", "place", "start"], "left_anti").select("k1", "k2", "offset")
+
+
+def repeated_windows(distinct: DataFrame) -> DataFrame:
+    """(k1, k2, offset): windows of distinct segments that start earlier in another segment.
+
+    `distinct` has (anchor, k1, k2, place, start, words). Equal windows have one anchor, so those of
+    anchors with more than HOT segments are settled by themselves, and no shard grows without bound.
+    """
+    hot = written(distinct.groupBy("anchor").agg(F.count("*").alias("many")).where(F.col("many") > HOT).select("anchor"), "hot")
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -265,10 +279,10 @@ def repeated_windows(distinct: DataFrame) -> DataFrame:
 
         def report() -> pa.RecordBatch:
             gone = index_shard(
-                [row[6].split(b" ") for row in held],
-                np.array([row[4] for row in held]), np.array([row[5] for row in held]),
+                [row[5].split(b" ") for row in held],
+                np.array([row[3] for row in held]), np.array([row[4] for row in held]),
             )
-            rows = [(row[1], row[2], row[3] + o) for row, late in zip(held, gone, strict=True) for o in late.tolist()]
+            rows = [(row[1], row[2], o) for row, late in zip(held, gone, strict=True) for o in late.tolist()]
             held.clear()
             columns = zip(*rows, strict=True) if rows else ((), (), ())
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["k1", "k2", "offset"])
@@ -279,13 +293,15 @@ def repeated_windows(distinct: DataFrame) -> DataFrame:
                     yield report()
                     size = 0
                 held.append(row)
-                size += row[6].count(b" ") + 2
+                size += row[5].count(b" ") + 2
         if held:
             yield report()
 
-    marked = distinct.join(hot, "anchor", "left").select("anchor", "k1", "k2", "place", "start", "words", "hot")
-    sharded = marked.mapInArrow(shards, "shard long, k1 long, k2 long, offset long, place long, start long, words binary")
-    return sharded.repartition("shard").sortWithinPartitions("shard").mapInArrow(index, "k1 long, k2 long, offset long")
+    rows = distinct.select("anchor", "k1", "k2", "place", "start", "words")
+    none_hot = hot.isEmpty()
+    cold = rows if none_hot else rows.join(F.broadcast(hot), "anchor", "left_anti")
+    late = cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(index, "k1 long, k2 long, offset long")
+    return late if none_hot else late.unionByName(_late_by_hash(_cut_windows(rows.join(F.broadcast(hot), "anchor"))))
 
 
 def removed_intervals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

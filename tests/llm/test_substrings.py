@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 
 from newslens.llm import substrings as S
 from newslens.llm.fm_index import FMIndex, WaveletMatrix
@@ -94,3 +95,28 @@ def test_given_documents(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert sorted(map(tuple, S.remove_repeats(docs).collect()), key=repr) == plain(rows)
+
+
+def test_passage_at_the_border_of_many_segments_fills_no_shard(spark, monkeypatch):
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for i in range(300):
+        before, after = ([f"u{rng.randrange(10**9)}" for _ in range(rng.randint(20, 30))] for _ in range(2))
+        rows.append((i * 3 if i % 50 else None, " ".join(before + passage + after)))
+    index_shard = S.index_shard
+
+    def bounded(texts, places, starts):
+        assert len(texts) <= 40, f"{len(texts)} rows in one shard"
+        return index_shard(texts, places, starts)
+
+    monkeypatch.setattr(S, "HOT", 40)
+    monkeypatch.setattr(S, "SHARD_WORDS", 1)
+    monkeypatch.setattr(S, "index_shard", bounded)
+    cloudpickle.register_pickle_by_value(S)  # workers get the module as it is patched here
+    try:
+        got = sorted(map(tuple, S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()), key=repr)
+    finally:
+        cloudpickle.unregister_pickle_by_value(S)
+    assert got == plain(rows)
+    assert sum(r[2] for r in got) == 299 * 60
