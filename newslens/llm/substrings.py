@@ -10,7 +10,7 @@ cut by content, so that equal windows meet in one shard and no shard needs anoth
    windows are streamed through backward search. Matching statistics below WINDOW end a window's
    search; an interval at WINDOW holds all its places, the least of which is its first start.
    Where an anchor has too many segments for one shard, its windows are named by a 128-bit hash, as
-   segments are, and an aggregate with a map-side half finds the first place of each.
+   segments are; equal ones meet by it, after each batch has settled all but the first of its own.
 4. A segment's places after the first repeat it whole; at its first place those windows go that
    start earlier in another segment. The intervals are brought to the documents.
 """
@@ -230,11 +230,15 @@ def index_shard(texts: list[list[bytes]], places: np.ndarray, starts: np.ndarray
     return [inside[late[a:b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-WINDOWS = "h1 long, h2 long, place long, start long, k1 long, k2 long, offset long"
+WINDOWS = "h1 long, h2 long, place long, start long, k1 long, k2 long, offset long, known boolean"
 
 
-def _cut_windows(segments: DataFrame) -> DataFrame:
-    """Every window of distinct segments, named by its hash."""
+def _late_by_hash(segments: DataFrame) -> DataFrame:
+    """(k1, k2, offset) of the windows of distinct segments that start earlier in another segment.
+
+    Within a batch, only the first place of a window asks whether there is an earlier one; the others
+    are known to be late and travel under keys of their own. So a frequent window is a few rows.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [part.split()[0] for part in WINDOWS.split(", ")]
@@ -244,25 +248,26 @@ def _cut_windows(segments: DataFrame) -> DataFrame:
                 words = content.split(b" ")
                 counts.append(len(words) - WINDOW + 1)
                 digests += [xxhash.xxh3_128_digest(b" ".join(words[i : i + WINDOW])) for i in range(counts[-1])]
+            if not digests:
+                continue
             many = np.array(counts, np.int64)
             k1, k2, place, start = (np.repeat(batch.column(i).to_numpy(), many) for i in range(4))
             offset = np.arange(len(digests)) - np.repeat(np.cumsum(many) - many, many)
+            start = start + offset
             h1, h2 = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2).T
-            columns = (h1, h2, place, start + offset, k1, k2, offset)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
-
-    return segments.select("k1", "k2", "place", "start", "words").mapInArrow(cut, WINDOWS)
+            at = np.lexsort((start, place, h2, h1))
+            h1, h2, place, start, k1, k2, offset = (x[at] for x in (h1, h2, place, start, k1, k2, offset))
+            fresh = np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))
+            first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+            known = (place != place[first]) | (start != start[first])
+            columns = (np.where(known, k1, h1), np.where(known, k2 + offset, h2), np.where(known, 0, place),
+                       np.where(known, 0, start), k1, k2, offset)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(known)], names)
 
-
-def _late_by_hash(windows: DataFrame) -> DataFrame:
-    """(k1, k2, offset) of the windows that start earlier in another segment.
-
-    Equal windows become one row a task before they move. A window is late unless it stands at its
-    first place, so places are part of the join's key and a frequent window is dealt out.
-    """
-    firsts = windows.groupBy("h1", "h2").agg(F.min(F.struct("place", "start")).alias("at"))
-    firsts = firsts.select("h1", "h2", "at.place", "at.start")
-    return windows.join(firsts, ["h1", "h2", "place", "start"], "left_anti").select("k1", "k2", "offset")
+    windows = segments.select("k1", "k2", "place", "start", "words").mapInArrow(cut, WINDOWS)
+    # Rows at the first place have rank 1, however many they are.
+    rank = F.rank().over(Window.partitionBy("known", "h1", "h2").orderBy("place", "start"))
+    return windows.withColumn("rank", rank).where("known OR rank > 1").select("k1", "k2", "offset")
 
 
 def repeated_windows(distinct: DataFrame) -> DataFrame:
@@ -301,7 +306,7 @@ def repeated_windows(distinct: DataFrame) -> DataFrame:
     none_hot = hot.isEmpty()
     cold = rows if none_hot else rows.join(F.broadcast(hot), "anchor", "left_anti")
     late = cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(index, "k1 long, k2 long, offset long")
-    return late if none_hot else late.unionByName(_late_by_hash(_cut_windows(rows.join(F.broadcast(hot), "anchor"))))
+    return late if none_hot else late.unionByName(_late_by_hash(rows.join(F.broadcast(hot), "anchor")))
 
 
 def removed_intervals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
