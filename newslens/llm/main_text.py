@@ -21,10 +21,17 @@ WINDOW = 3
 SURGE = 80
 LINKED = 0.6
 
-# Elements whose content is never text of the page.
-RAW = "script|style|title|textarea|noscript|template|iframe|svg|select|option|button|canvas|object"
+# Elements whose content is never text of the page, and those of them that run on to the end of the
+# page if nothing ends them; without an end, only the tags of the others go.
+RAW = frozenset("script style title textarea noscript template iframe svg select option button canvas object".split())
+ENDLESS = frozenset("script style title textarea".split())
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in RAW}
+# End tags of options are optional: what must follow ends them too, and stays.
+RAW_END["option"] = re.compile(r"</option\s*>|(?=</?(?:option|optgroup|datalist|select)\b)", re.IGNORECASE)
+# A slash at the end of an unquoted value belongs to it.
+CLOSED = re.compile(r"(?:^|[\s\"']|\s[^\s=\"']+)/\Z")
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']++|\"[^\"<>]*+\"|'[^'<>]*+')*+|[^>]*)>|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
@@ -65,6 +72,25 @@ def _is_boilerplate(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _tokens(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, slash, name, attributes) of the markup; comments and raw elements have no name."""
+    at = 0
+    endless: set[str] = set()  # raw elements that no end tag is left for
+    while token := TOKEN.search(page, at):
+        slash, name, attributes = token[1] or "", (token[2] or "").lower(), token[3] or ""
+        at = token.end()
+        if name in RAW and not slash:
+            if not CLOSED.search(attributes):
+                end = None if name in endless else RAW_END[name].search(page, at)
+                if end:
+                    at = end.end()
+                else:
+                    endless.add(name)
+                    at = len(page) if name in ENDLESS else at
+            name = ""
+        yield token.start(), at, slash, name, attributes
+
+
 def page_lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
     """Lines (text, characters inside links, boilerplate, in article), and whether an article is marked."""
     lines: list[tuple[str, int, bool, bool]] = []
@@ -91,21 +117,20 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
         state()
 
     at = 0
-    for token in TOKEN.finditer(page):
-        if token.start() > at:
-            piece = page[at : token.start()]
+    for start, end, slash, name, attributes in _tokens(page):
+        if start > at:
+            piece = page[at:start]
             pieces.append(piece)
             if in_link:
                 linked += len(piece)
-        at = token.end()
-        if token[3] is None:
+        at = end
+        if not name:
             continue
-        name = token[3].lower()
         if name == "a":
-            in_link = not token[2]
+            in_link = not slash
         elif name in SPACES:
             pieces.append(" ")
-        elif token[2]:
+        elif slash:
             known = name in BLOCKS or any(x[0] == name for x in stack)
             if not known:
                 continue
@@ -129,10 +154,10 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
                     stack.pop()
                 state()
                 marked = marked or not dropped
-            bad = dropped or _is_boilerplate(name, token[4], inside)
+            bad = dropped or _is_boilerplate(name, attributes, inside)
             stack.append((name, bad, inside or name in ARTICLES))
             state()
-        elif token[4] and not token[4].endswith("/") and _is_boilerplate(name, token[4], inside):
+        elif attributes and not attributes.endswith("/") and _is_boilerplate(name, attributes, inside):
             flush()
             stack.append((name, True, inside))
             state()

@@ -33,6 +33,21 @@ def test_odd_pages():
     assert len(main_text("<article><p>" + "w " * 200000)) == 399999
 
 
+def test_raw_elements_without_an_end_lose_no_text():
+    def body(markup):
+        return main_text(f"<article><p>before</p>{markup}<p>after</p></article>")
+
+    both = "before\nafter"
+    assert body("<svg viewBox='0 0 1 1' />") == body("<svg/><p></p><svg>no</svg>") == both
+    assert body("<datalist><option value=a><option value=b></datalist>") == both
+    assert body("<datalist><option>a<OPTION>b</datalist><p></p><select><option>c</option></select>") == both
+    assert body("<button class=menu>") == body("<svg><canvas>") == both
+    assert body("<script src=a/b/>no()</script>") == body("<iframe src=/x/>no</iframe>") == both
+    assert body("<svg-icon>") == both
+    assert body("<script>no()") == body("<textarea>no") == "before"
+    assert body("<button>" * 100000) == both
+
+
 def test_query_rows(spark):
     rows = [(1, "u", f"<article>{LONG}</article>"), (1, "u", f"<article>{LONG}</article>"), (None, None, None), (2, "v", "")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "5 AS text", "6 AS n_chars")
