@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from newslens.llm import (
+    bpe,
     decontaminate,
     language_id,
     license_scan,
     main_text,
+    merkle,
     mixing,
+    periods,
     simhash,
     substrings,
     token_files,
@@ -81,6 +84,18 @@ def _substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def _bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER_FILE))
+
+
+def _periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.periodic_digests(table(spark, sf_dir, "documents"))
+
+
+def _merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_tampering(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": _simhash,
@@ -93,8 +108,11 @@ def queries() -> dict[str, Query]:
         "op8_winnowing": _winnowing,
         "op9_main_text": _main_text,
         "op10_mixing": _mixing,
+        "op11_bpe": _bpe,
+        "op12_periods": _periods,
+        "op13_merkle": _merkle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": mixing.mix_sql(MIX)}
+    return {"op10_mixing": mixing.mix_sql(MIX), "op13_merkle": merkle.verify_tampering_sql()}
