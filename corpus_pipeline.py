@@ -1,7 +1,7 @@
 """The corpus pipeline: from raw documents to token files, one operator a stage.
 
 Every stage reads all rows that the one before kept. Rows without an id cannot be followed through
-the later stages and are left out by the near-duplicate stage.
+the later stages and are left out by the first one.
 """
 
 from __future__ import annotations
@@ -26,25 +26,22 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null language is filled with the predicted one.
     """
     ship_package(spark)
-    docs = docs.select(*COLUMNS)
-    found = language_id.identify(docs).where(F.col("lang_pred") != language_id.UNKNOWN)
-    found = found.groupBy("doc_id").agg(F.min("lang_pred").alias("lang_pred"))
-    letters = docs.where(F.col("text").rlike(r"\p{L}"))
-    return letters.join(found, "doc_id").select(
-        "doc_id", "text", F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars"
-    )
+    docs = docs.select(*COLUMNS).where(F.col("doc_id").isNotNull())
+    found = language_id.identify(docs, keep=COLUMNS[1:]).where(F.col("lang_pred") != language_id.UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id.
 
-    Of rows that repeat one id, one stays.
+    Of rows that repeat one id, the one with the smallest text stays, then language, source and length.
     """
     ship_package(spark)
     docs = docs.select(*COLUMNS)
     groups = simhash.near_duplicates(docs).where("doc_id = component_id")
     kept = groups.select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept, "doc_id").select(*COLUMNS)
+    one = docs.groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*")
+    return one.join(kept, "doc_id").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,8 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+MAX_BATCH_BYTES = 4 << 20
 
 _local_dirs: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -89,8 +91,13 @@ def enable_checkpoints(spark: SparkSession) -> None:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application, whatever folder they run in."""
+    """Send this package to the Python workers, once per application, whatever folder they run in.
+
+    Batches to the workers are cut by bytes, as rows may hold whole texts, unless the session says how.
+    """
     context = spark.sparkContext
+    if BATCH_BYTES not in spark.conf.getAll:
+        spark.conf.set(BATCH_BYTES, str(MAX_BATCH_BYTES))
     if context.applicationId in _shipped:
         return
     package = os.path.dirname(os.path.abspath(__file__))
