@@ -28,9 +28,9 @@ SAMPLE_CHARS = 20_000
 STEPS = 500
 BATCH = 1024
 RATE = 0.02
-# What a worker remembers: distinct words, and their bytes in all.
-MEMO_WORDS = 300_000
-MEMO_BYTES = 32_000_000
+# What a worker remembers within a task: distinct words, and their bytes in all.
+MEMO_WORDS = 120_000
+MEMO_BYTES = 8_000_000
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -265,8 +265,10 @@ def train(docs: DataFrame, folds: int = 4, fold: int = 2) -> LanguageModel:
     return fit([(row.lang, bytes(row.data)) for row in rows])
 
 
-def predict(docs: DataFrame, model: LanguageModel, folds: int = 4, fold: int = 2) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) of every row."""
+def predict(
+    docs: DataFrame, model: LanguageModel, folds: int = 4, fold: int = 2, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score) of every row, and the columns `keep` as they are."""
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,24 +281,28 @@ def predict(docs: DataFrame, model: LanguageModel, folds: int = 4, fold: int = 2
                 scores = np.where(letters, np.clip(found.max(axis=1), 0, 1), 0.0)
             else:
                 names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+            kept = [batch.column(4 + i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores)],
-                ["doc_id", "held_out", "lang_pred", "score"],
+                [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores), *kept],
+                ["doc_id", "held_out", "lang_pred", "score", *keep],
             )
+        model.memo.clear()
 
     rows = docs.select(
         F.col("doc_id").cast("long"), held_out("doc_id", folds, fold).alias("held"),
         text_bytes().alias("data"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"),
+        *keep,
     )
-    return rows.mapInArrow(label, "doc_id long, held_out boolean, lang_pred string, score double")
+    kinds = "".join(f", {name} {docs.schema[name].dataType.simpleString()}" for name in keep)
+    return rows.mapInArrow(label, f"doc_id long, held_out boolean, lang_pred string, score double{kinds}")
 
 
-def identify(docs: DataFrame) -> DataFrame:
+def identify(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every document's language by a model of the labelled ones outside the held-out fold.
 
     A text that is null or has no letter is `und` with score 0; so is every text if no language can
     be learned. With a single language to learn, every text with a letter has it, with score 1. Rows
     without an id are predicted and never held out; repeated rows are answered as
-    often as they occur; other columns are not read; an empty table gives an empty result.
+    often as they occur; other columns are not read, but those named in `keep` are passed on; an empty table gives an empty result.
     """
-    return predict(docs, train(docs))
+    return predict(docs, train(docs), keep=keep)

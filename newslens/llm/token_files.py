@@ -36,8 +36,8 @@ SUFFIX = ".s8b"
 END_ID = 2
 # A file is closed when it holds so many ids; a document is never split.
 FILE_IDS = 4_000_000
-# Distinct words whose ids a worker remembers.
-MEMO = 800_000
+# Distinct words whose ids a worker remembers: some 110 bytes each.
+MEMO = 400_000
 
 _tokenizers: dict[str, WordTokenizer] = {}
 
@@ -198,6 +198,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                         yield close()
         if doc_ids:
             yield close()
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("data")
