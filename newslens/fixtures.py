@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.functions.lexicon import lexicon_table
+from newslens.functions.lexicon import lexicon_table, phrase_table
 
 AS_OF = "2024-02-01"
 
@@ -15,6 +15,13 @@ TEST_LEXICON = [
     ("in", 0, 0), ("le", 75, 100), ("der", -25, 50),
 ]
 
+# The same with phrases, and with frequent words as modifiers.
+TEST_PHRASES = [
+    ("the", 25, 50, False), ("and", 100, 100, False), ("in", 0, 0, False), ("le", 75, 100, False), ("der", -25, 50, False),
+    ("la", 35, 15, False), ("of the", -75, 65, False), ("in the", 45, 35, False), ("and to the", -95, 85, False),
+    ("of", -50, 100, True), ("to", 130, 130, True), ("de", 33, 77, True), ("que", -100, 60, True),
+]
+
 VOTER_FACTORS = {
     "knn": 1, "lr": 2, "decisionTree": 3, "randomForest": 4, "naiveBayes": 6, "sgd": 7, "xgb": 8,
 }
@@ -200,6 +207,10 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return lexicon_table(spark, TEST_LEXICON)
 
 
+def phrases(spark: SparkSession) -> DataFrame:
+    return phrase_table(spark, TEST_PHRASES)
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seven made-up votes per embedding, for the vote and the verdict."""
     voters = F.array(

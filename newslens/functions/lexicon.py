@@ -28,6 +28,21 @@ _GROUPS = (
 )
 
 
+# (polarity factor, subjectivity factor, words); both in hundredths
+_MODIFIERS = (
+    (-50, 100, "not no never without hardly"),
+    (130, 130, "very really extremely highly so"),
+    (60, 80, "slightly somewhat rather partly"),
+)
+
+# (polarity, subjectivity, phrases)
+_PHRASES = (
+    (-60, 70, "fake news", "out of context", "made up"),
+    (40, 30, "fact checked", "on the record"),
+    (-20, 60, "so called", "it is said"),
+)
+
+
 def lexicon_table(spark: SparkSession, rows: Iterable[tuple[str, int, int]]) -> DataFrame:
     """A lexicon from (word, pol, sub) rows, as a local relation whose size Catalyst knows."""
     columns = zip(*rows)
@@ -41,3 +56,20 @@ def default_lexicon(spark: SparkSession) -> DataFrame:
     return lexicon_table(
         spark, [(word, pol, sub) for pol, sub, words in _GROUPS for word in words.split()]
     )
+
+
+def phrase_table(spark: SparkSession, rows: Iterable[tuple[str, int, int, bool]]) -> DataFrame:
+    """A lexicon of phrases from (phrase, pol, sub, modifies) rows."""
+    columns = zip(*rows)
+    types = {"phrase": pa.string(), "pol": pa.int32(), "sub": pa.int32(), "modifies": pa.bool_()}
+    return spark.createDataFrame(
+        pa.table({name: pa.array(next(columns), kind) for name, kind in types.items()})
+    )
+
+
+def default_phrases(spark: SparkSession) -> DataFrame:
+    """The words of the default lexicon, with modifiers and some phrases."""
+    rows = [(word, pol, sub, False) for pol, sub, words in _GROUPS for word in words.split()]
+    rows += [(word, pol, sub, True) for pol, sub, words in _MODIFIERS for word in words.split()]
+    rows += [(phrase, pol, sub, False) for pol, sub, *phrases in _PHRASES for phrase in phrases]
+    return phrase_table(spark, rows)

@@ -68,6 +68,12 @@ def fingerprint(text: Column | str) -> Column:
     return F.unhex(F.md5(text))
 
 
+def unsigned(digest: Column | str, start: int, bits: int) -> Column:
+    """A stretch of a digest's bits as a whole number; both in multiples of 4, at most 60 bits."""
+    hexes = F.substring(F.hex(_col(digest)), start // 4 + 1, bits // 4)
+    return F.conv(hexes, 16, 10).cast("bigint")
+
+
 def mean_hundredths(total: Column, matches: Column) -> Column:
     """Mean of `matches` integer hundredths; 0 where nothing matched."""
     return F.when(matches > 0, total.cast("double") / (matches * 100)).otherwise(F.lit(0.0))

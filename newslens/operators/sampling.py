@@ -1,7 +1,7 @@
 """Reproducible sampling by a hash of the row's key: splits and row cap.
 
-Stratified split and cap follow one order: by the hash, then by the key. No sort of all rows takes place. Counts per
-hash bucket show in which bucket a quota ends; only the keys of that bucket are put in order.
+Stratified split and cap follow one order: by the hash, then by the key. No sort of all rows takes place. For the
+split, counts per hash bucket show in which bucket a quota ends; only the keys of that bucket are put in order.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from newslens import constants as C
 from newslens.session import written
 
 _BUCKET_BITS = 16
-_CONTENT = "_content"
 
 
 def key_hash(key: Column | str, seed: int = C.SEED) -> Column:
@@ -116,24 +115,10 @@ def stratified_split(
 def cap_rows(
     df: DataFrame, n: int = C.TRAINING_CAP, key: str = "link", seed: int = C.SEED
 ) -> DataFrame:
-    """The first `n` rows in hash order, or all if there are fewer; runs two small jobs at once."""
-    rows = _keys(df, F.lit("all"), key, seed)
-    quota = rows.groupBy("stratum").agg(F.least(F.lit(n), F.count("*")).alias("quota"))
-    cut = _cuts(rows, quota).first()
-    if cut is None:
-        return df.limit(0)
-    last_hash = F.lit(cut.last_hash).cast("bigint").alias("hash")
-    at = F.struct(last_hash, F.lit(cut.last_key).alias("key"))
-    position, left = _position(key, seed), n - cut.rows_before
-    if cut.rows_at <= left:
-        return df.where(position <= at)
-    # The last key has more rows than are left to take: its rows are put in order by content.
-    at_key = df.where(position == at)
-    if key == _CONTENT:
-        # Rows equal in all columns: one of them, as many times as are left.
-        repeat = F.explode(F.sequence(F.lit(1), F.lit(left))).alias("_time")
-        some = at_key.distinct().select(*df.columns, repeat).drop("_time")
-    else:
-        content = at_key.withColumn(_CONTENT, F.to_json(F.struct(*df.columns)))
-        some = cap_rows(content, left, _CONTENT, seed).drop(_CONTENT)
-    return df.where(position < at).unionByName(some)
+    """The first `n` rows in hash order, or all if there are fewer.
+
+    Every task keeps its own first `n` in a bounded heap while it reads, and these are merged: one
+    scan, nothing written or sorted as a whole. Of the rows of one key those with the smallest
+    hash over all columns come first.
+    """
+    return df.orderBy(key_hash(key, seed), key, F.xxhash64(*df.columns)).limit(n)

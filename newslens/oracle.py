@@ -93,6 +93,61 @@ binned AS (
          CAST(trunc(subjectivity * 5) AS INT) AS subjectivity_bin FROM scores)
 """
 
+# Phrases with modifiers: known phrases by place, folded in order, the longest first at one place.
+_STATE = ("next", "until", "by_pol", "by_sub", "s_pol", "s_sub", "found")
+
+
+def _state(*values: str) -> str:
+    own = ", ".join(f"'{n}': CAST({v} AS BIGINT)" for n, v in zip(_STATE, values, strict=True))
+    return "{'pos': CAST(0 AS BIGINT), 'n': CAST(0 AS BIGINT), 'modifies': false, 'pol': CAST(0 AS BIGINT), 'sub': CAST(0 AS BIGINT), " + own + "}"
+
+
+def _scaled(value: str, factor: str, least: int, most: int) -> str:
+    factor = f"CASE WHEN s.until = h.pos THEN s.{factor} ELSE 100 END"
+    product = f"(h.{value} * {factor})"
+    return f"greatest({least}, least({most}, ({product} - {product} % 100) // 100))"
+
+
+_FOLD = f"""CASE WHEN h.pos < s.next THEN s
+  WHEN h.modifies THEN {_state("h.pos + h.n", "h.pos + h.n", _scaled("pol", "by_pol", -1000, 1000),
+                               _scaled("sub", "by_sub", -1000, 1000), "s.s_pol", "s.s_sub", "s.found")}
+  ELSE {_state("h.pos + h.n", "-1", "100", "100", "s.s_pol + " + _scaled("pol", "by_pol", -100, 100),
+               "s.s_sub + " + _scaled("sub", "by_sub", 0, 100), "s.found + 1")} END"""
+
+CONTEXT_SCORES = f"""
+phrases AS (
+  SELECT * FROM (VALUES
+    ('the', 25, 50, false), ('and', 100, 100, false), ('in', 0, 0, false), ('le', 75, 100, false),
+    ('der', -25, 50, false), ('la', 35, 15, false), ('of the', -75, 65, false), ('in the', 45, 35, false),
+    ('and to the', -95, 85, false), ('of', -50, 100, true), ('to', 130, 130, true), ('de', 33, 77, true),
+    ('que', -100, 60, true)) AS t(phrase, pol, sub, modifies)),
+cleaned AS (SELECT link, tweet_id, retweets, {CLEAN.format(text="text")} AS clean FROM deduped_posts),
+split AS (SELECT link, tweet_id, list_filter(string_split(clean, ' '), lambda w: w <> '') AS ws FROM cleaned),
+placed AS (SELECT link, tweet_id, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM split),
+ahead AS (
+  SELECT *, lead(w) OVER places AS w1, lead(w, 2) OVER places AS w2 FROM placed
+  WINDOW places AS (PARTITION BY link, tweet_id ORDER BY pos)),
+grams AS (
+  SELECT link, tweet_id, pos, 1 AS n, w AS phrase FROM ahead
+  UNION ALL SELECT link, tweet_id, pos, 2, w || ' ' || w1 FROM ahead WHERE w1 IS NOT NULL
+  UNION ALL SELECT link, tweet_id, pos, 3, w || ' ' || w1 || ' ' || w2 FROM ahead WHERE w2 IS NOT NULL),
+hits AS (
+  SELECT link, tweet_id, list({{'pos': pos, 'n': CAST(n AS BIGINT), 'modifies': modifies, 'pol': CAST(pol AS BIGINT),
+    'sub': CAST(sub AS BIGINT), {", ".join(f"'{n}': CAST(0 AS BIGINT)" for n in _STATE)}}} ORDER BY pos, n DESC) AS hits
+  FROM grams JOIN phrases USING (phrase) GROUP BY link, tweet_id),
+folded AS (
+  SELECT link, tweet_id, list_reduce(list_prepend({_state("0", "-1", "100", "100", "0", "0", "0")}, hits),
+    lambda s, h: {_FOLD}) AS s FROM hits),
+scores AS (
+  SELECT c.link, c.tweet_id, c.retweets,
+         CASE WHEN s.found > 0 THEN CAST(s.s_pol AS DOUBLE) / (s.found * 100) ELSE 0.0 END AS polarity,
+         CASE WHEN s.found > 0 THEN CAST(s.s_sub AS DOUBLE) / (s.found * 100) ELSE 0.0 END AS subjectivity
+  FROM cleaned c LEFT JOIN folded f ON f.link = c.link AND f.tweet_id = c.tweet_id),
+binned AS (
+  SELECT *, CAST(trunc((polarity + 1) * 2.5) AS INT) AS sentiment_bin,
+         CAST(trunc(subjectivity * 5) AS INT) AS subjectivity_bin FROM scores)
+"""
+
 JOINED = """
 joined AS (
   SELECT p.link, p.tweet_id, coalesce(u.followers_count, 0) AS followers_count,
@@ -305,6 +360,14 @@ def oracle_sql() -> dict[str, str]:
         "sentiment_scores": _with(
             *POSTS_TO_BINS, select="SELECT link, tweet_id, polarity, subjectivity FROM binned"
         ),
+        "sentiment_context": _with(
+            RAW_POSTS, DEDUPED_POSTS, CONTEXT_SCORES,
+            select="SELECT link, tweet_id, polarity, subjectivity FROM binned",
+        ),
+        "feature_vector_context": _with(
+            RAW_POSTS, USERS, DEDUPED_POSTS, CONTEXT_SCORES, DEDUPED_USERS, JOINED, COMPAT, VECTORS,
+            select=f"SELECT {PARITY_COLUMNS} FROM vectors",
+        ),
         "sentiment_bins": _with(
             *POSTS_TO_BINS,
             select="SELECT link, tweet_id, sentiment_bin, subjectivity_bin FROM binned",
@@ -402,6 +465,15 @@ def oracle_sql() -> dict[str, str]:
         "csv_features_roundtrip": _with(
             *ALL_FEATURES, select=f"SELECT {PARITY_COLUMNS} FROM vectors"
         ),
+        "feature_store": _with(
+            *ALL_FEATURES, LABELED, select=f"SELECT {PARITY_COLUMNS}, label FROM labeled"
+        ),
+        "posts_for_links_late": _with(
+            RAW_POSTS,
+            LABELS,
+            select="""SELECT * FROM posts WHERE link IN (
+              SELECT news_url FROM news_labels WHERE credibility = 'fake')""",
+        ),
         "labels_scan": _with(
             LABELS,
             select="""SELECT news_url, coalesce(credibility, 'nan') AS credibility

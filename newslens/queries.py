@@ -14,6 +14,7 @@ from newslens.functions.text import clean_text
 from newslens.operators import accounts as A
 from newslens.operators import histograms as H
 from newslens.operators.accounts import tagged_ids
+from newslens.operators.context import score_in_context
 from newslens.operators.dedupe import dedupe_posts, dedupe_users
 from newslens.operators.labels import label_features
 from newslens.operators.nearest import fit_nearest
@@ -37,6 +38,7 @@ from newslens.sources.lookups import (
     statuses_with_user,
 )
 from newslens.sources.readers import (
+    read_feature_store,
     read_features,
     read_labels,
     read_lines,
@@ -44,7 +46,7 @@ from newslens.sources.readers import (
     read_users,
 )
 from newslens.sources.tables import prepare_posts, prepare_users, with_account_age
-from newslens.sources.writers import write_features, write_posts, write_users
+from newslens.sources.writers import write_feature_store, write_features, write_posts, write_users
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +71,12 @@ def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_sentiment(kept, X.lexicon(spark), ["link", "tweet_id"])
 
 
+def _context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every kept post with phrases, negation and intensity."""
+    kept = dedupe_posts(X.posts(spark, sf_dir))
+    return score_in_context(kept, X.phrases(spark), ["link", "tweet_id"])
+
+
 def _bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_sentiment_bins(_scores(spark, sf_dir)).drop("polarity", "subjectivity")
 
@@ -152,6 +160,14 @@ def _feature_vector_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_vectors(wide)
 
 
+def _feature_vector_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat_vectors(
+        link_features(
+            X.posts(spark, sf_dir), X.repeated_users(spark, sf_dir), X.phrases(spark), scorer=score_in_context
+        )
+    )
+
+
 def _merge_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_link = H.text_histogram(_scored(spark, sf_dir)).withColumn(
         "host", F.split_part("link", F.lit("/"), F.lit(3))
@@ -160,11 +176,12 @@ def _merge_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("host", *spread_array("textFeatures", C.TEXT_WIDTH, "text"))
 
 
-def _posts_for_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = X.labels(spark, sf_dir).where("credibility = 'fake'")
-    return posts_for_links(
-        X.posts(spark, sf_dir), wanted.select(F.col("news_url").alias("link"))
-    )
+def _posts_for_links(late: bool | None = None) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        wanted = X.labels(spark, sf_dir).where("credibility = 'fake'")
+        return posts_for_links(X.posts(spark, sf_dir), wanted.select(F.col("news_url").alias("link")), late)
+
+    return query
 
 
 def _lookup_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,6 +256,17 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_features(assemble(features(spark, sf_dir)), X.labels(spark, sf_dir))
 
 
+def _feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled vectors by way of the bucketed table: vectors are not moved for the join."""
+    path = fresh_path(spark, "features")
+    table = "features_" + path.rsplit("-", 1)[-1]
+    write_feature_store(features(spark, sf_dir), table, 16, path)
+    labelled = label_features(assemble(read_feature_store(spark, table)), X.labels(spark, sf_dir))
+    return labelled.select(
+        "link", "label", *[F.col("features")[i].alias(name) for i, name in enumerate(_PARTS)]
+    )
+
+
 def _labeled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labelled(spark, sf_dir).select(
         "link", "label", *[F.col("features")[i].alias(name) for i, name in enumerate(_PARTS)]
@@ -349,6 +377,7 @@ def queries() -> dict[str, Query]:
         "dedupe_posts": lambda s, d: dedupe_posts(X.posts(s, d)),
         "dedupe_users": lambda s, d: dedupe_users(X.repeated_users(s, d)),
         "sentiment_scores": _scores,
+        "sentiment_context": _context,
         "sentiment_bins": _bins,
         "sentiment_groups": lambda s, d: H.sentiment_groups(_scored(s, d)),
         "text_histogram": _text_histogram,
@@ -362,8 +391,10 @@ def queries() -> dict[str, Query]:
         "verified_share": _verified_share,
         "feature_vector": _feature_vector,
         "feature_vector_spread": _feature_vector_spread,
+        "feature_vector_context": _feature_vector_context,
         "merge_arrays": _merge_arrays,
-        "posts_for_links": _posts_for_links,
+        "posts_for_links": _posts_for_links(),
+        "posts_for_links_late": _posts_for_links(late=True),
         "lookup_users": _lookup_users,
         "flatten_status": lambda s, d: flatten_status(X.statuses(s, d)),
         "account_age": _account_age,
@@ -372,6 +403,7 @@ def queries() -> dict[str, Query]:
         "csv_users_roundtrip": _csv_users,
         "csv_prepared_users_roundtrip": _csv_prepared_users,
         "csv_features_roundtrip": _csv_features,
+        "feature_store": _feature_store,
         "labels_scan": _labels_scan,
         "text_scan": _text_scan,
         "union_sources": _union_sources,

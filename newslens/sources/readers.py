@@ -75,6 +75,11 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_feature_store(spark: SparkSession, table: str) -> DataFrame:
+    """Feature rows of `write_feature_store`; Spark knows their buckets."""
+    return spark.table(table).select("link", "textFeatures", "retweets", "userFeatures")
+
+
 def _breaks_in_fields(spark: SparkSession, path: str) -> bool:
     """Whether a line ends inside a quoted field, which leaves it an odd number of quotes."""
     quotes = F.length("value") - F.length(F.translate("value", '"', ""))
@@ -103,5 +108,13 @@ def read_labels(
 def read_lines(
     spark: SparkSession, path: str, min_partitions: int = C.TEXT_SCAN_PARTITIONS
 ) -> DataFrame:
-    """Lines of text files, spread over at least `min_partitions` tasks for what follows."""
-    return spark.read.text(path).repartition(min_partitions)
+    """Lines of text files, read by at least `min_partitions` tasks; no line is shuffled.
+
+    The files are cut to fit: a scan takes its split size from the session that it was made by, so this
+    one is made by a session of its own. Files that cannot be cut (gzip) stay one task each, and
+    files of less than `min_partitions` bytes give fewer tasks.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.minPartitionNum", str(min_partitions))
+    own.conf.set("spark.sql.files.openCostInBytes", "1")
+    return own.read.text(path)

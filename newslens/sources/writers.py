@@ -38,6 +38,18 @@ def write_users(users: DataFrame, path: str, mode: str = "errorifexists") -> Non
     _write(users.select(*columns), path, mode)
 
 
+def write_feature_store(features: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Feature rows as a Parquet table, in buckets by link and sorted in them.
+
+    A join on the link then moves no vector, however many links there are: the labels alone are dealt to the buckets.
+    The arrays stay arrays. An existing table raises; `path` places the files outside the warehouse.
+    """
+    rows = features.select("link", "textFeatures", "retweets", "userFeatures")
+    # Dealt out as the buckets are: one file for each.
+    dealt = rows.repartition(buckets, "link").write.bucketBy(buckets, "link").sortBy("link").format("parquet")
+    (dealt if path is None else dealt.option("path", path)).saveAsTable(table, mode="error")
+
+
 def write_features(features: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """index, link, textFeatures, retweets, userFeatures; lists as `[1, 2]`. The index is
     unique but has gaps: numbering without gaps would pull all rows through one task."""
