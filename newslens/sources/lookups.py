@@ -41,12 +41,13 @@ def maybe_wanted(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     )
     byte = "conv(hex(substring(_bits, CAST(_position div 8 AS INT) + 1, 1)), 16, 10)"
     is_set = F.expr(f"shiftright(CAST({byte} AS INT), CAST(_position % 8 AS INT)) % 2 = 1")
-    return (
+    kept = (
         rows.withColumns({"_piece": piece, "_position": position})
         .join(F.broadcast(bitmap), "_piece")
-        .where(is_set)
-        .select(*rows.columns)
+        # Rows come out of a generator, so that no later join is moved below this one.
+        .select(F.explode(F.when(is_set, F.array(F.struct(*rows.columns)))).alias("_row"))
     )
+    return kept.select("_row.*")
 
 
 def posts_for_links(posts: DataFrame, links: DataFrame, late: bool | None = None) -> DataFrame:

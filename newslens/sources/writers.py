@@ -42,7 +42,8 @@ def write_feature_store(features: DataFrame, table: str, buckets: int, path: str
     """Feature rows as a Parquet table, in buckets by link and sorted in them.
 
     A join on the link then moves no vector, however many links there are: the labels alone are dealt to the buckets.
-    The arrays stay arrays. An existing table raises; `path` places the files outside the warehouse.
+    Take at least as many buckets as the joins' sessions have shuffle partitions: Spark deals fewer out
+    anew. The arrays stay arrays. An existing table raises; `path` places the files outside the warehouse.
     """
     rows = features.select("link", "textFeatures", "retweets", "userFeatures")
     # Dealt out as the buckets are: one file for each.
