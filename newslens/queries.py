@@ -17,6 +17,7 @@ from newslens.operators.accounts import tagged_ids
 from newslens.operators.context import score_in_context
 from newslens.operators.dedupe import dedupe_posts, dedupe_users
 from newslens.operators.labels import label_features
+from newslens.operators.near_hash import fit_hashed
 from newslens.operators.nearest import fit_nearest
 from newslens.operators.sampling import cap_rows, hash_split, stratified_split
 from newslens.operators.sentiment import score_sentiment, with_sentiment_bins
@@ -350,8 +351,8 @@ def _flat_verdict(verdicts: DataFrame, voters: tuple[str, ...] = C.VOTERS) -> Da
     )
 
 
-def _knn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = hash_split(
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_split(
         X.table(spark, sf_dir, "embeddings").select(
             "vec_id",
             F.col("embedding").cast("array<double>").alias("features"),
@@ -359,6 +360,18 @@ def _knn(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         key="vec_id",
     )
+
+
+def _knn_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label of a near neighbour among all training rows, and the true one."""
+    rows = _embeddings(spark, sf_dir)
+    index = fit_hashed(rows.where(~F.col("is_test")), key="vec_id")
+    test = rows.where("is_test")
+    return test.select("vec_id", "label").join(index.predict(test, "vec_id"), "vec_id")
+
+
+def _knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _embeddings(spark, sf_dir)
     model = fit_nearest(rows.where(~F.col("is_test")), key="vec_id")
     return model.predict(rows.where("is_test")).select(
         "vec_id", "label", "prediction"
@@ -412,6 +425,7 @@ def queries() -> dict[str, Query]:
         "hash_split": lambda s, d: hash_split(_labelled(s, d)).drop("features"),
         "training_cap": _training_cap,
         "knn_1": _knn,
+        "knn_hashed": _knn_hashed,
         "model_accuracy": _model_accuracy,
         "majority_vote": lambda s, d: majority_vote(X.predictions(s, d)),
         "verdict": lambda s, d: _flat_verdict(verdict(X.predictions(s, d))),
