@@ -24,7 +24,7 @@ from newslens import constants as C
 from newslens.operators.nearest import NearestNeighbour, _matrix, _nearest_rows, fit_nearest
 from newslens.session import ship_package, written
 
-TABLES = 12
+TABLES = 16
 HASHES = 6
 LEVELS = 3
 # Buckets with more rows are dealt on.
