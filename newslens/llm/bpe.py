@@ -20,6 +20,7 @@ import re
 from array import array
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,13 +29,16 @@ from pyspark.sql import functions as F
 from newslens.llm.tables import text_bytes
 
 # Bytes of stretches and ids, with what their objects take, that a worker remembers.
-MEMO_BYTES = 48 << 20
+MEMO_BYTES = 96 << 20
 _ENTRY = 180  # two objects and their place in a dict
 # Texts taken together: so many bytes at least, or a single one.
 PART_BYTES = 4 << 20
 # Words of more symbols are merged by themselves, with a heap; others all together.
 LONG_WORD = 64
 
+# Closes a word: a character that no spelled byte has.
+END = "\ue000"
+
 _NEVER = np.int32(np.iinfo(np.int32).max)
 
 
@@ -65,6 +69,15 @@ class Merges:
         reached = self._reachable(left, right, rank)
         self.vocab = {token: number for token, number in vocab.items() if reached[number]}
         self.symbol_ids = {token: number for token, number in vocab.items() if rank[number] == _NEVER}
+        # Tokens as the automaton has them: END stands for the suffix.
+        self.automaton = ahocorasick.Automaton()
+        self.lengths = np.zeros(self.size, np.int64)
+        for token, number in self.vocab.items():
+            ended = bool(suffix) and token.endswith(suffix)
+            plain = token.removesuffix(suffix) + END if ended else token
+            self.automaton.add_word(plain, number)
+            self.lengths[number] = len(plain)
+        self.automaton.make_automaton()
         # The longest token, without its suffix, by its first two symbols.
         self.reach: dict[str, int] = {}
         for token in self.vocab:
@@ -217,21 +230,46 @@ class Merges:
                 at += 1  # a symbol that is not in the vocabulary: dropped
         return ids
 
-    def encode(self, words: list[str]) -> tuple[list[list[int]], int]:
-        """Tokens of each word, and how many had to be merged step by step."""
-        proposed = [self.greedy(word) for word in words]
-        sizes = np.fromiter(map(len, proposed), np.int64, len(proposed))
-        tokens = np.fromiter((t for ids in proposed for t in ids), np.int64, int(sizes.sum()))
-        owner = np.repeat(np.arange(len(words)), sizes)
-        inside = np.flatnonzero(owner[1:] == owner[:-1]) if len(owner) else np.zeros(0, np.int64)
+    def proposals(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, owner): greedy longest match of all words in one pass of an automaton, by word.
+
+        Words that it leaves with a gap, such as a last token that does not end the word, are
+        matched again one by one.
+        """
+        joined = "".join([word + END for word in words])
+        found = list(self.automaton.iter_long(joined))
+        tokens = np.fromiter((t for _, t in found), np.int64, len(found))
+        stops = np.fromiter((at for at, _ in found), np.int64, len(found)) + 1
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        owner = np.searchsorted(ends, stops)
+        covered = np.zeros(len(words), np.int64) if self.suffix else np.ones(len(words), np.int64)
+        np.add.at(covered, owner, self.lengths[tokens])
+        gaps = np.flatnonzero(covered != np.diff(ends, prepend=0))
+        if len(gaps):
+            again = [self.greedy(words[number]) for number in gaps.tolist()]
+            sound = ~np.isin(owner, gaps)
+            sizes = np.fromiter(map(len, again), np.int64, len(again))
+            tokens = np.concatenate([tokens[sound], np.array([t for ids in again for t in ids], np.int64)])
+            owner = np.concatenate([owner[sound], np.repeat(gaps, sizes)])
+            order = np.argsort(owner, kind="stable")
+            tokens, owner = tokens[order], owner[order]
+        return tokens, owner
+
+    def encode(self, words: list[str]) -> tuple[list[bytes], int]:
+        """Tokens of each word as little-endian 32-bit integers, and how many words had to be merged."""
+        tokens, owner = self.proposals(words)
+        inside = np.flatnonzero(owner[1:] == owner[:-1])
         first, second = tokens[inside], tokens[inside + 1]
         pairs, which = np.unique(first * self.size + second, return_inverse=True)
         apart = self._stay_apart(pairs // self.size, pairs % self.size)
-        failed = np.unique(owner[inside[~apart[which]]])
-        merged = self.exact([words[number] for number in failed.tolist()])
-        for number, ids in zip(failed.tolist(), merged, strict=True):
-            proposed[number] = ids
-        return proposed, len(failed)
+        failed = np.unique(owner[inside[~apart[which]]]).tolist()
+        cuts = (4 * np.searchsorted(owner, np.arange(len(words) + 1))).tolist()
+        data = tokens.astype("<u4").tobytes()
+        out = [data[low:high] for low, high in zip(cuts, cuts[1:])]
+        merged = self.exact([words[number] for number in failed])
+        for number, ids in zip(failed, merged, strict=True):
+            out[number] = array("I", ids).tobytes()
+        return out, len(failed)
 
 
 class Tokenizer:
@@ -260,11 +298,26 @@ class Tokenizer:
         self.added_cut = re.compile("|".join(sorted(map(re.escape, self.added), key=len, reverse=True)) or r"(?!)")
         names = {number: token for token, number in model["vocab"].items()} | {i: t for t, i in self.added.items()}
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
+        self.letters = self._single_words()
+        marks = "".join(c for c in ".,;:!?" if self._cut("a" + c) == ["a", c])
+        self.plain = re.compile(
+            f"([{''.join(map(chr, self.letters))}]+)([{marks}]?)" if self.letters and marks else r"(?!)"
+        )
         self.recent: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.held = 0
         self.words = self.failed = 0
 
+    def _single_words(self) -> dict[int, str]:
+        """How letters below U+0250 are spelled, if any of them in a row make a single word.
+
+        None of them combines with one before it, so each is normalized by itself.
+        """
+        found = {c: self._cut(chr(c)) for c in range(0x250) if chr(c).isalpha()}
+        letters = {c: parts[0] for c, parts in found.items() if len(parts) == 1 and isinstance(parts[0], str)}
+        every = "".join(map(chr, letters))
+        return letters if self._cut(every) == ["".join(letters.values())] else {}
+
     def _cut(self, stretch: str) -> list[str | int]:
         """Words of a stretch, as the model sees them, and ids of added tokens in it."""
         out: list[str | int] = []
@@ -303,22 +356,26 @@ class Tokenizer:
 
     def _learn(self, stretches: list[bytes]) -> None:
         texts = [stretch.decode() for stretch in stretches]
-        odd = [text.split() != [text] for text in texts]
         cut: list[list[str | int]] = [[]] * len(texts)
-        for number, parts in zip(
-            [i for i, o in enumerate(odd) if not o],
-            self._cut_all([t for t, o in zip(texts, odd, strict=True) if not o]),
-            strict=True,
-        ):
-            cut[number] = parts
+        whole, odd = [], []
         for number, text in enumerate(texts):
-            if odd[number]:
-                cut[number] = self._cut(text)
+            plain = self.plain.fullmatch(text)
+            if plain:
+                word, mark = plain.groups()
+                cut[number] = [word.translate(self.letters), mark] if mark else [word.translate(self.letters)]
+            elif text.split() == [text]:
+                whole.append(number)
+            else:
+                odd.append(number)
+        for number, parts in zip(whole, self._cut_all([texts[i] for i in whole]), strict=True):
+            cut[number] = parts
+        for number in odd:
+            cut[number] = self._cut(texts[number])
         words = list({w: None for parts in cut for w in parts if isinstance(w, str)})
         tokens, failed = self.merges.encode(words)
         self.words += len(words)
         self.failed += failed
-        known = {w: array("I", ids).tobytes() for w, ids in zip(words, tokens, strict=True)}
+        known: dict[str | int, bytes] = dict(zip(words, tokens, strict=True))
         known |= {number: array("I", [number]).tobytes() for number in self.added.values()}
         for stretch, parts in zip(stretches, cut, strict=True):
             found = b"".join([known[part] for part in parts])
