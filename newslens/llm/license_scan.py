@@ -7,11 +7,14 @@ a neighbouring one. Votes are counted per document, template and diagonal, diago
 together are merged to spans, and the words of each span are compared with the template again.
 
 Templates are of two kinds. A phrase of the base must stand word by word; it may be of any length.
-A notice is a longer sentence and matches if a large enough part of its words does, in order.
+A notice is aligned with the words near its span: words of it that are missing and words that stand
+between count against it, its key words must be there, and of notices that overlap the best alone
+stays, so that a text names the one license whose notice it is.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +29,7 @@ from newslens.llm.tables import text_bytes
 GRAM = 3
 # Diagonals this near to each other belong to one span.
 DRIFT = 3
-# Share of a notice's grams that a span needs, and of its words that must be found in order.
+# Share of a notice's grams that a span needs, and of its words, with those between, that must match.
 VOTES = 0.3
 ENOUGH = 0.7
 
@@ -36,19 +39,84 @@ PHRASES = (
     ("apache license version 2", "apache-2"),
     ("cc by nc", "cc-by-nc"),
 )
-# Sentences by which works usually name their license.
+# The notices by which works usually name or grant their license, the label, and the
+# words without which it is another license's notice.
 NOTICES = (
-    ("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit"),
-    ("licensed under the apache license version 2 0", "apache-2"),
-    ("you may not use this file except in compliance with the license", "apache-2"),
-    ("this work is licensed under the gnu general public license version 3", "gpl-3"),
-    ("free software you can redistribute it and or modify it under the terms of the gnu general public license", "gpl"),
-    ("licensed under cc by nc 4 0", "cc-by-nc"),
-    ("creative commons attribution noncommercial 4 0 international license", "cc-by-nc"),
-    ("creative commons attribution sharealike 4 0 international license", "cc-by-sa"),
-    ("creative commons attribution 4 0 international license", "cc-by"),
-    ("redistribution and use in source and binary forms with or without modification are permitted", "bsd"),
-    ("mozilla public license version 2 0", "mpl-2"),
+    ("permission is hereby granted free of charge to any person obtaining a copy of this software and "
+     "associated documentation files the software to deal in the software without restriction including "
+     "without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
+     "copies of the software and to permit persons to whom the software is furnished to do so subject to "
+     "the following conditions", "mit", "restriction sublicense"),
+    ("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit",
+     "person copy"),
+    ("permission to use copy modify and or distribute this software for any purpose with or without fee is "
+     "hereby granted provided that the above copyright notice and this permission notice appear in all "
+     "copies", "isc", "fee appear"),
+    ("licensed under the apache license version 2 0", "apache-2", "apache 2"),
+    ("licensed under the apache license version 2 0 the license you may not use this file except in "
+     "compliance with the license you may obtain a copy of the license at", "apache-2", "apache 2"),
+    ("you may not use this file except in compliance with the license", "apache-2", "compliance except"),
+    ("this work is licensed under the gnu general public license version 2", "gpl-2", "gnu version 2"),
+    ("this work is licensed under the gnu general public license version 3", "gpl-3", "gnu version 3"),
+    ("gnu general public license version 2", "gpl-2", "gnu version 2"),
+    ("gnu general public license version 3", "gpl-3", "gnu version 3"),
+    ("gnu lesser general public license version 2 1", "lgpl-2.1", "gnu lesser 2 1"),
+    ("gnu lesser general public license version 3", "lgpl-3", "gnu lesser 3"),
+    ("gnu affero general public license version 3", "agpl-3", "gnu affero 3"),
+    ("free software you can redistribute it and or modify it under the terms of the gnu general public license",
+     "gpl", "gnu general"),
+    ("free software you can redistribute it and or modify it under the terms of the gnu general public license "
+     "as published by the free software foundation either version 2 of the license or at your option any later "
+     "version", "gpl-2", "gnu general 2"),
+    ("free software you can redistribute it and or modify it under the terms of the gnu general public license "
+     "as published by the free software foundation either version 3 of the license or at your option any later "
+     "version", "gpl-3", "gnu general 3"),
+    ("free software you can redistribute it and or modify it under the terms of the gnu lesser general public "
+     "license as published by the free software foundation either version 2 1 of the license or at your option "
+     "any later version", "lgpl-2.1", "gnu lesser 2 1"),
+    ("free software you can redistribute it and or modify it under the terms of the gnu lesser general public "
+     "license as published by the free software foundation either version 3 of the license or at your option "
+     "any later version", "lgpl-3", "gnu lesser 3"),
+    ("free software you can redistribute it and or modify it under the terms of the gnu affero general public "
+     "license as published by the free software foundation either version 3 of the license or at your option "
+     "any later version", "agpl-3", "gnu affero 3"),
+    ("licensed under cc by 4 0", "cc-by", "cc by 4"),
+    ("licensed under cc by sa 4 0", "cc-by-sa", "cc by sa"),
+    ("licensed under cc by nc 4 0", "cc-by-nc", "cc by nc"),
+    ("licensed under cc by nd 4 0", "cc-by-nd", "cc by nd"),
+    ("licensed under cc by nc sa 4 0", "cc-by-nc-sa", "cc by nc sa"),
+    ("licensed under cc by nc nd 4 0", "cc-by-nc-nd", "cc by nc nd"),
+    ("creative commons attribution 4 0 international license", "cc-by", "commons attribution"),
+    ("creative commons attribution sharealike 4 0 international license", "cc-by-sa",
+     "commons attribution sharealike"),
+    ("creative commons attribution noncommercial 4 0 international license", "cc-by-nc",
+     "commons attribution noncommercial"),
+    ("creative commons attribution noderivatives 4 0 international license", "cc-by-nd",
+     "commons attribution noderivatives"),
+    ("creative commons attribution noncommercial sharealike 4 0 international license", "cc-by-nc-sa",
+     "commons attribution noncommercial sharealike"),
+    ("creative commons attribution noncommercial noderivatives 4 0 international license", "cc-by-nc-nd",
+     "commons attribution noncommercial noderivatives"),
+    ("creative commons zero v1 0 universal", "cc0", "commons zero"),
+    ("cc0 1 0 universal public domain dedication", "cc0", "cc0"),
+    ("redistribution and use in source and binary forms with or without modification are permitted", "bsd",
+     "redistribution binary permitted"),
+    ("redistribution and use in source and binary forms with or without modification are permitted provided that "
+     "the following conditions are met redistributions of source code must retain the above copyright notice this "
+     "list of conditions and the following disclaimer", "bsd", "redistribution binary permitted"),
+    ("neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+     "products derived from this software without specific prior written permission", "bsd-3",
+     "neither endorse promote"),
+    ("mozilla public license version 2 0", "mpl-2", "mozilla 2"),
+    ("this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was "
+     "not distributed with this file you can obtain one at", "mpl-2", "mozilla 2"),
+    ("eclipse public license version 2 0", "epl-2", "eclipse 2"),
+    ("this program and the accompanying materials are made available under the terms of the eclipse public license "
+     "2 0 which is available at", "epl-2", "eclipse 2"),
+    ("boost software license version 1 0", "bsl-1", "boost 1"),
+    ("this is free and unencumbered software released into the public domain", "unlicense", "unencumbered domain"),
+    ("this software is provided as is without any express or implied warranty in no event will the authors be held "
+     "liable for any damages arising from the use of this software", "zlib", "event authors arising"),
 )
 
 
@@ -57,13 +125,14 @@ class Template:
     words: tuple[bytes, ...]
     label: str
     exact: bool
+    keys: frozenset[bytes] = frozenset()
 
 
 def default_templates() -> list[Template]:
-    return [
-        Template(tuple(text.encode().split()), label, exact)
-        for exact, texts in ((True, PHRASES), (False, NOTICES))
-        for text, label in texts
+    phrases = [Template(tuple(text.encode().split()), label, True) for text, label in PHRASES]
+    return phrases + [
+        Template(tuple(text.encode().split()), label, False, frozenset(keys.encode().split()))
+        for text, label, keys in NOTICES
     ]
 
 
@@ -147,22 +216,43 @@ def candidate_spans(matches: DataFrame, gram: int = GRAM) -> DataFrame:
     return spans.where(F.col("votes") >= needed).select("key", "template", "low", "high")
 
 
-def _in_order(words: list[bytes], wanted: tuple[bytes, ...]) -> int:
-    """How many of `wanted` stand in `words` in order: their longest common subsequence."""
+@dataclass(frozen=True)
+class Hit:
+    """A stretch of words that a notice was aligned with."""
+
+    net: int  # words found, less those missing and those between
+    share: float  # of words found among those of the notice and those between
+    start: int
+    stop: int
+    label: str
+
+
+def _align(words: list[bytes], wanted: tuple[bytes, ...]) -> tuple[int, int, int]:
+    """(net, start, stop) of the stretch that gives most words of `wanted` in order, each that is
+    missing or stands between counted against it; of equal ones the last start, then the first stop.
+    """
     number = {word: i for i, word in enumerate(dict.fromkeys(wanted), 1)}
     codes = np.fromiter((number.get(word, 0) for word in words), np.int64, len(words))
-    row = np.zeros(len(words) + 1, np.int64)
+    # The net is kept above the start, so that one maximum decides both.
+    one = np.int64(1 << 40)
+    best = np.arange(len(words) + 1, dtype=np.int64)
+    steps = np.arange(len(words) + 1, dtype=np.int64) * one
     for word in wanted:
-        row[1:] = np.maximum(row[1:], row[:-1] + (codes == number[word]))
-        row = np.maximum.accumulate(row)
-    return int(row[-1])
+        missing = best - one
+        found = best[:-1] + one
+        best = missing
+        best[1:] = np.where(codes == number[word], np.maximum(found, missing[1:]), missing[1:])
+        best = np.maximum.accumulate(best + steps) - steps
+    stop = int(np.argmax(best))
+    net, start = divmod(int(best[stop]), int(one))
+    return net, start, stop
 
 
 def verify(
     words: list[bytes], spans: list[tuple[int, int, int]], templates: list[Template]
-) -> tuple[list[tuple[int, str]], list[tuple[str, float]]]:
-    """Places of phrases (first word, label), and notices (label, share of words found)."""
-    places, notices = set(), {}
+) -> tuple[list[tuple[int, str]], list[Hit]]:
+    """Places of phrases (first word, label), and the notices that stay, none over another."""
+    places, hits = set(), set()
     for number, low, high in spans:
         template = templates[number]
         size = len(template.words)
@@ -170,11 +260,21 @@ def verify(
             if tuple(words[low : low + size]) == template.words:
                 places.add((low, template.label))
             continue
-        near = words[max(0, low - size) : high + size]
-        share = _in_order(near, template.words) / size
-        if share >= ENOUGH:
-            notices[template.label] = max(share, notices.get(template.label, 0.0))
-    return sorted(places), sorted(notices.items())
+        first = max(0, low - size)
+        net, start, stop = _align(words[first : high + size], template.words)
+        found = (net + size + stop - start) // 3
+        share = found / (size + stop - start - found)
+        if share >= ENOUGH and template.keys.issubset(words[first + start : first + stop]):
+            hits.add(Hit(net, share, first + start, first + stop, template.label))
+    kept: list[Hit] = []
+    ends: list[tuple[int, int]] = []
+    for hit in sorted(hits, key=lambda h: (-h.net, -h.share, h.start, h.stop, h.label)):
+        # The stretches kept lie apart: only the nearest on either side can overlap.
+        at = bisect.bisect_left(ends, (hit.start, hit.stop))
+        if (at == 0 or ends[at - 1][1] <= hit.start) and (at == len(ends) or hit.stop <= ends[at][0]):
+            ends.insert(at, (hit.start, hit.stop))
+            kept.append(hit)
+    return sorted(places), kept
 
 
 RESULT = (
@@ -188,9 +288,11 @@ def license_scan(docs: DataFrame, templates: list[Template] | None = None) -> Da
 
     n_base counts the places of base phrases, first_word and last_word are the least and the
     largest of them (null if there is none), labels also holds those of notices, and score is the
-    largest share of a template that was found, 1 for a phrase. A null text has no words. Rows
+    largest share of a template that was found, 1 for a phrase. A null or empty text has no words.
+    Very long texts are scanned whole. Of overlapping notices the one with the largest net stays,
+    of equal ones that with the larger share, then the earlier, then the lesser label. Rows
     without an id and repeated rows are answered like any other; other columns are not read; an
-    empty table gives an empty result. Phrases must have at least GRAM words.
+    empty table gives an empty result. Templates must have at least GRAM words.
     """
     templates = default_templates() if templates is None else templates
     if any(len(t.words) < GRAM for t in templates):
@@ -215,12 +317,12 @@ def license_scan(docs: DataFrame, templates: list[Template] | None = None) -> Da
                 found = [(s["template"], s["low"], s["high"]) for s in spans or ()]
                 places, notices = verify(words, found, templates)
                 base = sorted({label for _, label in places})
-                labels = sorted({*base, *(label for label, _ in notices)})
+                labels = sorted({*base, *(hit.label for hit in notices)})
                 rows.append((
                     doc, len(words), len(places),
                     places[0][0] if places else None, places[-1][0] if places else None,
                     ",".join(base), ",".join(labels),
-                    1.0 if places else max((share for _, share in notices), default=0.0),
+                    1.0 if places else max((hit.share for hit in notices), default=0.0),
                 ))
             kinds = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.float64()]
             columns = zip(*rows, strict=True) if rows else [()] * 8

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import random
 import re
 
-from newslens.llm.license_scan import PHRASES, license_scan
+import pytest
+
+from newslens.llm.license_scan import ENOUGH, NOTICES, PHRASES, default_templates, license_scan, verify
 from newslens.llm.tables import table
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -54,3 +57,84 @@ def test_given_documents(spark):
     got = license_scan(docs).collect()
     assert base(got) == sorted((plain(*row) for row in rows), key=repr)
     assert any(r.n_base for r in got) and any(r.labels == "gpl-3" for r in got)
+
+
+# The one label that each text must give.
+OWN = [
+    ("Creative Commons Attribution 4.0 International License", "cc-by"),
+    ("Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+    ("Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc"),
+    ("a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "cc-by-nc-sa"),
+    ("GNU General Public License version 2", "gpl-2"),
+    ("GNU Lesser General Public License, version 2.1", "lgpl-2.1"),
+    ("GNU Affero General Public License version 3", "agpl-3"),
+    ("Eclipse Public License version 2.0", "epl-2"),
+    ("Mozilla Public License, version 2.0", "mpl-2"),
+    ("some public license version 2 0", ""),
+    ("creative commons", ""),
+]
+
+
+def plain_hits(words):
+    """All notices aligned with all words by the plain recurrence, the best taken in turn."""
+    hits = []
+    for text, label, keys in NOTICES:
+        wanted = text.split()
+        row = [(0, j) for j in range(len(words) + 1)]
+        for word in wanted:
+            new = [(row[0][0] - 1, row[0][1])]
+            for j, got in enumerate(words, 1):
+                choices = [(row[j][0] - 1, row[j][1]), (new[-1][0] - 1, new[-1][1])]
+                if got == word:
+                    choices.append((row[j - 1][0] + 1, row[j - 1][1]))
+                new.append(max(choices))
+            row = new
+        stop = max(range(len(row)), key=lambda j: (row[j], -j))
+        net, start = row[stop]
+        found = (net + len(wanted) + stop - start) // 3
+        share = found / (len(wanted) + stop - start - found)
+        if share >= ENOUGH and set(keys.split()) <= set(words[start:stop]):
+            hits.append((-net, -share, start, stop, label))
+    kept = []
+    for hit in sorted(set(hits)):
+        if all(hit[3] <= other[2] or other[3] <= hit[2] for other in kept):
+            kept.append(hit)
+    return kept
+
+
+def test_each_license_gives_its_own_label_alone(spark):
+    texts = [("w " * i + text + " and so on", label) for i, (text, label) in enumerate(OWN)]
+    texts += [(text, label) for text, label, _ in NOTICES]
+    df = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in license_scan(df).collect()}
+    for i, (text, label) in enumerate(texts):
+        # A phrase of the base keeps its label, also within the notice of a license with a longer name.
+        base = set(plain(i, text)[5].split(",")) - {""}
+        assert got[i] == ",".join(sorted(base | {label} - {""})), text
+
+
+def test_notices_against_plain_alignment(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(120):
+        words = rng.choice(NOTICES)[0].split()
+        for _ in range(rng.randrange(6)):
+            at = rng.randrange(len(words))
+            words[at : at + rng.randrange(2)] = rng.choices(["w", "x", "2", "3", "license", "sharealike"], k=rng.randrange(2))
+        rows.append((i, " ".join(["a"] * rng.randrange(9) + words + ["z"] * rng.randrange(9))))
+    got = {r.doc_id: r for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        hits = plain_hits(text.split())
+        base = {label for phrase, label in PHRASES if f" {phrase} " in f" {text} "}
+        assert got[i].labels == ",".join(sorted(base | {hit[4] for hit in hits})), text
+        assert got[i].score == pytest.approx(1.0 if base else max((-hit[1] for hit in hits), default=0.0))
+
+
+def test_overlapping_notices_leave_the_best():
+    templates = default_templates()
+    words = "creative commons attribution noncommercial 4 0 international license".encode().split()
+    spans = [(n, 0, len(words)) for n, t in enumerate(templates) if not t.exact]
+    places, hits = verify(words, spans, templates)
+    assert not places and [(h.label, h.share, h.start, h.stop) for h in hits] == [("cc-by-nc", 1.0, 0, 8)]
+    twice = verify(words + [b"x"] * 50 + words, [*spans, *[(n, 58, 66) for n, *_ in spans]], templates)[1]
+    assert {h.label for h in twice} == {"cc-by-nc"} and len(twice) == 2
