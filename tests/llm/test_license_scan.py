@@ -7,7 +7,17 @@ import re
 
 import pytest
 
-from newslens.llm.license_scan import ENOUGH, NOTICES, PHRASES, default_templates, license_scan, verify
+from newslens.llm.license_scan import (
+    DRIFT,
+    ENOUGH,
+    GRAM,
+    NOTICES,
+    PHRASES,
+    VOTES,
+    default_templates,
+    license_scan,
+    verify,
+)
 from newslens.llm.tables import table
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -75,11 +85,29 @@ OWN = [
 ]
 
 
+def plain_votes(words, wanted):
+    """Whether enough grams match on diagonals that lie together."""
+    diagonals = sorted(
+        i - j
+        for i in range(len(words) - GRAM + 1)
+        for j in range(len(wanted) - GRAM + 1)
+        if words[i : i + GRAM] == wanted[j : j + GRAM]
+    )
+    groups = [[]]
+    for diagonal in diagonals:
+        if groups[-1] and diagonal - groups[-1][-1] > DRIFT:
+            groups.append([])
+        groups[-1].append(diagonal)
+    return max(map(len, groups)) >= max(1, int((len(wanted) - GRAM + 1) * VOTES))
+
+
 def plain_hits(words):
     """All notices aligned with all words by the plain recurrence, the best taken in turn."""
     hits = []
     for text, label, keys in NOTICES:
         wanted = text.split()
+        if not plain_votes(words, wanted):
+            continue
         row = [(0, j) for j in range(len(words) + 1)]
         for word in wanted:
             new = [(row[0][0] - 1, row[0][1])]
