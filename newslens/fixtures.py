@@ -243,3 +243,21 @@ def margin_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(fake, "fake").otherwise("real").alias("label"),
         F.array(*parts).cast("array<bigint>").alias("features"),
     )
+
+
+def overlap_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(link, label, features): one row per event, on a chequered board of six by six fields.
+
+    A field is fake if the halves that its row and column lie in say so together, neither alone, and one
+    row in eleven has the other label: the classes overlap, no single cut or plane tells them apart, and
+    the best a model can do is the label that most rows of a field have.
+    """
+    number = F.col("event_id")
+    across, down = number % 6, F.floor(number / 6) % 6
+    fake = (across < 2) != (down < 4)
+    labelled_fake = fake != (number % 11 == 0)
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("e"), number.cast("string")).alias("link"),
+        F.when(labelled_fake, "fake").otherwise("real").alias("label"),
+        F.array(*[down if j % 2 else across for j in range(36)]).cast("array<bigint>").alias("features"),
+    )

@@ -300,6 +300,15 @@ margin AS (SELECT 'e' || event_id AS link, CASE WHEN event_id % 3 = 0 THEN 'fake
 {QUOTAS.format(rows="margin")},
 margin_test AS (SELECT link, label FROM margin JOIN quotas USING (label) QUALIFY {STRATIFIED})
 """
+# One row in eleven has the other label; a right model gives all rows of a field the label of most.
+OVERLAP = f"""
+overlap_fields AS (SELECT 'e' || event_id AS link, event_id % 11 = 0 AS odd,
+  (event_id % 6 < 2) <> (event_id // 6 % 6 < 4) AS fake FROM events),
+overlap AS (SELECT link, CASE WHEN fake <> odd THEN 'fake' ELSE 'real' END AS label,
+  CASE WHEN fake THEN 'fake' ELSE 'real' END AS prediction FROM overlap_fields),
+{QUOTAS.format(rows="overlap")},
+overlap_test AS (SELECT link, label, prediction FROM overlap JOIN quotas USING (label) QUALIFY {STRATIFIED})
+"""
 MODELS = "(SELECT unnest(['knn', 'lr', 'decisionTree', 'randomForest', 'naiveBayes', 'sgd', 'xgb']) AS model)"
 HELD_OUT = "asked AS (SELECT link, label, x FROM sides WHERE is_test)"
 ALL_LINKS = f"""
@@ -560,6 +569,9 @@ def oracle_sql() -> dict[str, str]:
         "margin_logistic": _with(MARGIN, select="SELECT link, label, label AS prediction FROM margin_test"),
         "margin_linear_svc": _with(MARGIN, select="SELECT link, label, label AS prediction FROM margin_test"),
         "margin_gbt": _with(MARGIN, select="SELECT link, label, label AS prediction FROM margin_test"),
+        "overlap_tree": _with(OVERLAP, select="SELECT * FROM overlap_test"),
+        "overlap_forest": _with(OVERLAP, select="SELECT * FROM overlap_test"),
+        "overlap_gbt": _with(OVERLAP, select="SELECT * FROM overlap_test"),
         "margin_all_predictions": _with(
             MARGIN,
             select=f"SELECT link, label, model, label AS prediction FROM margin_test, {MODELS}",

@@ -12,8 +12,6 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
-    GBTClassificationModel,
-    GBTClassifier,
     LinearSVC,
     LinearSVCModel,
     LogisticRegression,
@@ -31,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens import constants as C
+from newslens.operators.boosting import BoostedTrees, Settings, fit_boosted
 from newslens.operators.labels import label_features
 from newslens.operators.nearest import NearestNeighbour, fit_nearest
 from newslens.operators.sampling import cap_rows, stratified_split
@@ -44,13 +43,13 @@ _MAX_BINS = 128
 # Training rows are bounded, so their partitions are a fixed number: by a hash of the link and in
 # its order, as bagging draws per partition.
 _TRAIN_PARTITIONS = 4
-_BOOST_ROUNDS = 100
+_BOOSTED = Settings(rounds=100, depth=6, rate=0.3, penalty=1.0)
 
 
 def _estimators(rows: int, labels: int = 2) -> dict[str, Estimator]:
-    """Estimator per voter; the nearest-neighbour model is fitted apart.
+    """Estimator per voter; nearest neighbour and boosted trees are fitted apart.
 
-    Hinge and boosting know two labels; for more, one model for each label decides against the rest.
+    Hinge knows two labels; for more, one model for each label decides against the rest.
     """
     common = {"featuresCol": "vector", "labelCol": "index"}
     tree = {"maxBins": _MAX_BINS, "seed": C.SEED, "cacheNodeIds": True, "checkpointInterval": 10}
@@ -71,11 +70,9 @@ def _estimators(rows: int, labels: int = 2) -> dict[str, Estimator]:
         "naiveBayes": NaiveBayes(modelType="gaussian", **common),
         # Hinge loss with L2 of 1e-4: the objective of a linear SGD classifier.
         "sgd": LinearSVC(regParam=1e-4, standardization=False, **common),
-        "xgb": GBTClassifier(maxIter=_BOOST_ROUNDS, maxDepth=6, stepSize=0.3, **tree, **common),
     }
     if labels > 2:
-        for name in ("sgd", "xgb"):
-            made[name] = OneVsRest(classifier=made[name], **common)
+        made["sgd"] = OneVsRest(classifier=made["sgd"], **common)
     return made
 
 
@@ -83,7 +80,6 @@ _MODEL_CLASSES = {
     kind.__name__: kind
     for kind in (
         DecisionTreeClassificationModel,
-        GBTClassificationModel,
         LinearSVCModel,
         LogisticRegressionModel,
         NaiveBayesModel,
@@ -98,7 +94,7 @@ class ModelSet:
     """Fitted models by voter name, the labels they predict, and their hold-out accuracy."""
 
     labels: list[str]
-    fitted: dict[str, Model | NearestNeighbour]
+    fitted: dict[str, Model | NearestNeighbour | BoostedTrees]
     accuracy: dict[str, float] = field(default_factory=dict)
 
     def save(self, path: str) -> None:
@@ -111,6 +107,8 @@ class ModelSet:
         for name, model in self.fitted.items():
             if isinstance(model, NearestNeighbour):
                 model.train.write.parquet(f"{path}/{name}")
+            elif isinstance(model, BoostedTrees):
+                model.save(spark, f"{path}/{name}")
             else:
                 model.write().save(f"{path}/{name}")
 
@@ -121,6 +119,8 @@ class ModelSet:
         for name, kind in facts["models"].items():
             if kind == NearestNeighbour.__name__:
                 fitted[name] = NearestNeighbour(spark.read.parquet(f"{path}/{name}"))
+            elif kind == BoostedTrees.__name__:
+                fitted[name] = BoostedTrees.load(spark, f"{path}/{name}", facts["labels"])
             else:
                 fitted[name] = _MODEL_CLASSES[kind].load(f"{path}/{name}")
         return cls(facts["labels"], fitted, facts["accuracy"])
@@ -161,6 +161,8 @@ def fit_models(
     def fit(name: str):
         if name == "knn":
             return fit_nearest(known, key="link", max_train_rows=max_train_rows)
+        if name == "xgb":
+            return fit_boosted(known, _BOOSTED)
         model = estimators[name].fit(rows)
         if not isinstance(model, OneVsRestModel):  # which works on its models' raw column
             for output in ("rawPredictionCol", "probabilityCol"):
@@ -184,7 +186,7 @@ def predict_wide(models: ModelSet, df: DataFrame) -> DataFrame:
     out = with_vector(df)
     votes = []
     for name, model in models.fitted.items():
-        if isinstance(model, NearestNeighbour):
+        if isinstance(model, NearestNeighbour | BoostedTrees):
             out = model.predict(out, f"_{name}")
             vote = F.col(f"_{name}")
         else:

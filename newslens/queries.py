@@ -294,6 +294,10 @@ def _margin_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratified_split(X.margin_rows(spark, sf_dir))
 
 
+def _overlap_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stratified_split(X.overlap_rows(spark, sf_dir))
+
+
 def _predictions(*voters: str, of: Query = _training_set) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         models, test = _split_and_fit(of(spark, sf_dir), voters)
@@ -447,6 +451,9 @@ def queries() -> dict[str, Query]:
         "margin_all_predictions": _predictions(*C.VOTERS, of=_margin_set),
         "margin_accuracy_table": _accuracy_table(_margin_set),
         "margin_verdicts": _margin_verdicts,
+        "overlap_tree": _predictions("decisionTree", of=_overlap_set),
+        "overlap_forest": _predictions("randomForest", of=_overlap_set),
+        "overlap_gbt": _predictions("xgb", of=_overlap_set),
         "score_links_knn_nb": _score_links("knn", "naiveBayes"),
         "score_links_for": _score_links("knn", "naiveBayes", stored=True),
         "score_links": _score_links(*C.VOTERS),

@@ -46,9 +46,9 @@ def test_models_tell_the_classes_apart(models):
 
 def test_forest_and_boosting_parameters():
     made = training._estimators(200)
-    forest, boosted = made["randomForest"], made["xgb"]
+    forest, boosted = made["randomForest"], training._BOOSTED
     assert forest.getNumTrees() == 100 and forest.getFeatureSubsetStrategy() == "sqrt"
-    assert (boosted.getMaxIter(), boosted.getMaxDepth(), boosted.getSeed()) == (100, 6, 3)
+    assert (boosted.rounds, boosted.depth, boosted.rate, boosted.penalty) == (100, 6, 0.3, 1.0)
     assert made["lr"].getRegParam() == 1 / 200
 
 
