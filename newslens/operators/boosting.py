@@ -26,6 +26,8 @@ from newslens.session import ship_package, written
 _SCALE = float(1 << 24)
 # A root that is not cut and moves margins by less than this has nothing left to learn.
 _STILL = 1e-6
+# Rows that make a task of a pass worth starting: small files of fewer are read together.
+_BLOCK_ROWS = 20_000
 # At most so many bins a feature, so that one fits a byte.
 BINS = 255
 _TREE_SCHEMA = "round int, part int, node int, feature int, cut double, left int, right int, value double"
@@ -251,7 +253,9 @@ def fit_boosted(
     rows = train.where(F.col("label").isNotNull() & F.col("features").isNotNull()).select(
         F.col("label").cast("string").alias("label"), F.col("features").cast("array<double>").alias("features")
     )
-    facts = rows.groupBy("label").agg(F.max(F.size("features")).alias("width")).collect()  # one row a label
+    facts = rows.groupBy("label").agg(  # one row a label
+        F.max(F.size("features")).alias("width"), F.count("*").alias("rows")
+    ).collect()
     labels = sorted(row.label for row in facts)
     if len(labels) < 2:
         return BoostedTrees(labels, [])
@@ -276,15 +280,13 @@ def fit_boosted(
             cells = np.frombuffer(b"".join(bytes(row.cells) for row in part), np.uint8)
             yield cells.reshape(len(part), -1).astype(np.int64), np.array([row.target for row in part])
 
-    blocks = stored.rdd.mapPartitions(block).persist()
-    context = spark.sparkContext
+    tasks = -(-sum(row.rows for row in facts) // _BLOCK_ROWS)
+    blocks = stored.coalesce(tasks).rdd.mapPartitions(block).persist()
     parts = 1 if len(labels) == 2 else len(labels)
 
     def pass_over(done: list[list[Tree]], growing: list[Tree], open_nodes: list[list[int]]) -> np.ndarray:
-        state = context.broadcast((done, growing, open_nodes))
-        found = blocks.map(lambda b: _sums(b, *state.value, bins)).treeReduce(np.add)
-        state.unpersist()
-        return found
+        # The trees go with the task: a broadcast of its own would take longer than a pass over few rows.
+        return blocks.map(lambda b: _sums(b, done, growing, open_nodes, bins)).treeReduce(np.add)
 
     trees = grow(pass_over, parts, settings)
     blocks.unpersist()
