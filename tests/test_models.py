@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from newslens import constants as C
 from newslens.functions.lexicon import lexicon_table
+from newslens.operators.boosting import Settings
 from newslens.plans import scoring, training
 
 QUICK = ("knn", "lr", "decisionTree", "naiveBayes", "sgd")
@@ -44,7 +45,7 @@ def test_models_tell_the_classes_apart(models):
     assert all(value > 0.85 for value in models.accuracy.values()), models.accuracy
 
 
-def test_forest_and_boosting_parameters():
+def test_forest_and_boosting_parameters(spark):
     made = training._estimators(200)
     forest, boosted = made["randomForest"], training._BOOSTED
     assert forest.getNumTrees() == 100 and forest.getFeatureSubsetStrategy() == "sqrt"
@@ -83,7 +84,7 @@ def test_a_folder_with_models_is_not_overwritten(tmp_path, models):
 
 
 def test_three_labels_with_every_voter_but_the_forest(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(training, "_BOOST_ROUNDS", 3)
+    monkeypatch.setattr(training, "_BOOSTED", Settings(rounds=3))
     data = [(f"l{i}", f"c{i % 3}", [40 * (i % 3 == j % 3) + (i * (j + 1)) % 5 for j in range(6)]) for i in range(150)]
     df = spark.createDataFrame(data, "link string, label string, features array<bigint>")
     voters = [v for v in C.VOTERS if v != "randomForest"]
