@@ -8,7 +8,17 @@ import random
 import numpy as np
 import pytest
 
-from newslens.llm.winnowing import _window_minima, fingerprints, gram_hashes, near_edits, winnow
+from newslens.llm.winnowing import (
+    GRAM,
+    WINDOW,
+    _window_minima,
+    edited,
+    fingerprints,
+    gram_hashes,
+    likeness,
+    near_edits,
+    winnow,
+)
 
 
 def plain_winnow(data, gram, window):
@@ -41,12 +51,20 @@ def test_ties_take_the_rightmost():
 
 def test_shared_passage_is_always_found():
     rng = random.Random(1)
-    passage = bytes(rng.choices(b"abcdefg ", k=24 + 32 - 1))
+    passage = bytes(rng.choices(b"abcdefg ", k=GRAM + WINDOW - 1))
     for _ in range(50):
         a, b = (bytes(rng.choices(b"xyz", k=rng.randint(0, 90))) for _ in range(2))
         assert set(winnow(a + passage)[0]) & set(winnow(passage + b)[0])
 
 
+def test_short_texts_are_like_their_edit():
+    rng = random.Random(2)
+    for size in range(2 * (GRAM + WINDOW - 1), 120):
+        text, after = ("".join(rng.choices("abcdefghijklmnop ", k=size)) for _ in range(2))
+        sets = [np.unique(winnow(t.encode())[0]) for t in (text, edited(text, after), after)]
+        assert likeness(sets[0], sets[1]) > likeness(sets[0], sets[2])
+
+
 def plain(rows):
     ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     out = []
