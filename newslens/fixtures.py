@@ -261,3 +261,20 @@ def overlap_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(labelled_fake, "fake").otherwise("real").alias("label"),
         F.array(*[down if j % 2 else across for j in range(36)]).cast("array<bigint>").alias("features"),
     )
+
+
+def plane_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(link, label, features): one row per event, on either side of a plane through a cube of points.
+
+    Three odd coordinates of -5 to 5 stand in twelve features each; a row is fake if they add up to more than 0.
+    One row in eleven has the other label, so the classes overlap everywhere. Points and flips lie evenly about
+    the plane, so the plane is what a right linear model must find, and single cuts cannot.
+    """
+    number = F.col("event_id")
+    sides = [F.floor(number / step) % 6 * 2 - 5 for step in (1, 6, 36)]
+    fake = sides[0] + sides[1] + sides[2] > 0
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("e"), number.cast("string")).alias("link"),
+        F.when(fake != (number % 11 == 0), "fake").otherwise("real").alias("label"),
+        F.array(*[sides[j % 3] for j in range(36)]).cast("array<bigint>").alias("features"),
+    )

@@ -309,6 +309,15 @@ overlap AS (SELECT link, CASE WHEN fake <> odd THEN 'fake' ELSE 'real' END AS la
 {QUOTAS.format(rows="overlap")},
 overlap_test AS (SELECT link, label, prediction FROM overlap JOIN quotas USING (label) QUALIFY {STRATIFIED})
 """
+# One row in eleven has the other label; the plane through the middle is the best one can do.
+PLANE = f"""
+plane_sides AS (SELECT 'e' || event_id AS link, event_id % 11 = 0 AS odd,
+  event_id % 6 * 2 + event_id // 6 % 6 * 2 + event_id // 36 % 6 * 2 - 15 > 0 AS fake FROM events),
+plane AS (SELECT link, CASE WHEN fake <> odd THEN 'fake' ELSE 'real' END AS label,
+  CASE WHEN fake THEN 'fake' ELSE 'real' END AS prediction FROM plane_sides),
+{QUOTAS.format(rows="plane")},
+plane_test AS (SELECT link, label, prediction FROM plane JOIN quotas USING (label) QUALIFY {STRATIFIED})
+"""
 MODELS = "(SELECT unnest(['knn', 'lr', 'decisionTree', 'randomForest', 'naiveBayes', 'sgd', 'xgb']) AS model)"
 HELD_OUT = "asked AS (SELECT link, label, x FROM sides WHERE is_test)"
 ALL_LINKS = f"""
@@ -572,6 +581,7 @@ def oracle_sql() -> dict[str, str]:
         "overlap_tree": _with(OVERLAP, select="SELECT * FROM overlap_test"),
         "overlap_forest": _with(OVERLAP, select="SELECT * FROM overlap_test"),
         "overlap_gbt": _with(OVERLAP, select="SELECT * FROM overlap_test"),
+        "plane_linear_sgd": _with(PLANE, select="SELECT * FROM plane_test"),
         "margin_all_predictions": _with(
             MARGIN,
             select=f"SELECT link, label, model, label AS prediction FROM margin_test, {MODELS}",

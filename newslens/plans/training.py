@@ -12,14 +12,10 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
-    LinearSVC,
-    LinearSVCModel,
     LogisticRegression,
     LogisticRegressionModel,
     NaiveBayes,
     NaiveBayesModel,
-    OneVsRest,
-    OneVsRestModel,
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
@@ -31,6 +27,7 @@ from pyspark.sql import functions as F
 from newslens import constants as C
 from newslens.operators.boosting import BoostedTrees, Settings, fit_boosted
 from newslens.operators.labels import label_features
+from newslens.operators.linear_sgd import LinearModel, fit_linear
 from newslens.operators.nearest import NearestNeighbour, fit_nearest
 from newslens.operators.sampling import cap_rows, stratified_split
 from newslens.operators.votes import model_accuracy
@@ -46,14 +43,11 @@ _TRAIN_PARTITIONS = 4
 _BOOSTED = Settings(rounds=100, depth=6, rate=0.3, penalty=1.0)
 
 
-def _estimators(rows: int, labels: int = 2) -> dict[str, Estimator]:
-    """Estimator per voter; nearest neighbour and boosted trees are fitted apart.
-
-    Hinge knows two labels; for more, one model for each label decides against the rest.
-    """
+def _estimators(rows: int) -> dict[str, Estimator]:
+    """Estimator per voter; nearest neighbour, boosted trees and the stochastic linear model are fitted apart."""
     common = {"featuresCol": "vector", "labelCol": "index"}
     tree = {"maxBins": _MAX_BINS, "seed": C.SEED, "cacheNodeIds": True, "checkpointInterval": 10}
-    made = {
+    return {
         # L2 with C = 1: the penalty is shared out over the rows, as the loss is a mean.
         "lr": LogisticRegression(
             regParam=1.0 / max(1, rows), elasticNetParam=0.0, standardization=False, **common
@@ -68,22 +62,15 @@ def _estimators(rows: int, labels: int = 2) -> dict[str, Estimator]:
             **common,
         ),
         "naiveBayes": NaiveBayes(modelType="gaussian", **common),
-        # Hinge loss with L2 of 1e-4: the objective of a linear SGD classifier.
-        "sgd": LinearSVC(regParam=1e-4, standardization=False, **common),
     }
-    if labels > 2:
-        made["sgd"] = OneVsRest(classifier=made["sgd"], **common)
-    return made
 
 
 _MODEL_CLASSES = {
     kind.__name__: kind
     for kind in (
         DecisionTreeClassificationModel,
-        LinearSVCModel,
         LogisticRegressionModel,
         NaiveBayesModel,
-        OneVsRestModel,
         RandomForestClassificationModel,
     )
 }
@@ -94,7 +81,7 @@ class ModelSet:
     """Fitted models by voter name, the labels they predict, and their hold-out accuracy."""
 
     labels: list[str]
-    fitted: dict[str, Model | NearestNeighbour | BoostedTrees]
+    fitted: dict[str, Model | NearestNeighbour | BoostedTrees | LinearModel]
     accuracy: dict[str, float] = field(default_factory=dict)
 
     def save(self, path: str) -> None:
@@ -107,7 +94,7 @@ class ModelSet:
         for name, model in self.fitted.items():
             if isinstance(model, NearestNeighbour):
                 model.train.write.parquet(f"{path}/{name}")
-            elif isinstance(model, BoostedTrees):
+            elif isinstance(model, BoostedTrees | LinearModel):
                 model.save(spark, f"{path}/{name}")
             else:
                 model.write().save(f"{path}/{name}")
@@ -121,6 +108,8 @@ class ModelSet:
                 fitted[name] = NearestNeighbour(spark.read.parquet(f"{path}/{name}"))
             elif kind == BoostedTrees.__name__:
                 fitted[name] = BoostedTrees.load(spark, f"{path}/{name}", facts["labels"])
+            elif kind == LinearModel.__name__:
+                fitted[name] = LinearModel.load(spark, f"{path}/{name}", facts["labels"])
             else:
                 fitted[name] = _MODEL_CLASSES[kind].load(f"{path}/{name}")
         return cls(facts["labels"], fitted, facts["accuracy"])
@@ -156,18 +145,19 @@ def fit_models(
         inputCol="label", outputCol="index", stringOrderType="alphabetAsc"
     ).fit(known)
     rows = indexer.transform(known)
-    estimators = _estimators(count, len(indexer.labels))
+    estimators = _estimators(count)
 
     def fit(name: str):
         if name == "knn":
             return fit_nearest(known, key="link", max_train_rows=max_train_rows)
         if name == "xgb":
             return fit_boosted(known, _BOOSTED)
+        if name == "sgd":
+            return fit_linear(known)
         model = estimators[name].fit(rows)
-        if not isinstance(model, OneVsRestModel):  # which works on its models' raw column
-            for output in ("rawPredictionCol", "probabilityCol"):
-                if model.hasParam(output):
-                    model.set(model.getParam(output), "")
+        for output in ("rawPredictionCol", "probabilityCol"):
+            if model.hasParam(output):
+                model.set(model.getParam(output), "")
         return model.setPredictionCol(f"_{name}")
 
     with ThreadPoolExecutor(max(1, parallelism)) as pool:
@@ -186,7 +176,7 @@ def predict_wide(models: ModelSet, df: DataFrame) -> DataFrame:
     out = with_vector(df)
     votes = []
     for name, model in models.fitted.items():
-        if isinstance(model, NearestNeighbour | BoostedTrees):
+        if isinstance(model, NearestNeighbour | BoostedTrees | LinearModel):
             out = model.predict(out, f"_{name}")
             vote = F.col(f"_{name}")
         else:

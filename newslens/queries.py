@@ -294,6 +294,10 @@ def _margin_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratified_split(X.margin_rows(spark, sf_dir))
 
 
+def _plane_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stratified_split(X.plane_rows(spark, sf_dir))
+
+
 def _overlap_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratified_split(X.overlap_rows(spark, sf_dir))
 
@@ -454,6 +458,7 @@ def queries() -> dict[str, Query]:
         "overlap_tree": _predictions("decisionTree", of=_overlap_set),
         "overlap_forest": _predictions("randomForest", of=_overlap_set),
         "overlap_gbt": _predictions("xgb", of=_overlap_set),
+        "plane_linear_sgd": _predictions("sgd", of=_plane_set),
         "score_links_knn_nb": _score_links("knn", "naiveBayes"),
         "score_links_for": _score_links("knn", "naiveBayes", stored=True),
         "score_links": _score_links(*C.VOTERS),
