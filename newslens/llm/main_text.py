@@ -56,20 +56,40 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
 PIECES = re.compile(r"[^a-z0-9]+")
+# Names that also stand on parts of an article. Inside one they make a block suspect only if nothing else but
+# words of layout stands beside them, and its lines go only if they are short or mostly links.
+WEAK = frozenset(
+    "banner menu menus modal notice overlay promo promotion related recommended share sharing social "
+    "subscription toolbar widget".split()
+)
+LAYOUT = frozenset("bar block box btn button buttons container inner item items links list row section wrap wrapper".split())
+CLEAN, SUSPECT, DROPPED = 0, 1, 2
 
 
-def _is_boilerplate(name: str, attributes: str, in_article: bool) -> bool:
+def _kind(name: str, attributes: str, in_article: bool) -> int:
+    """CLEAN, SUSPECT or DROPPED, by the name and attributes of an element."""
     if name in BOILERPLATE and not (name == "header" and in_article):
-        return True
+        return DROPPED
     if not attributes or name in ARTICLES or name in ("body", "html"):
-        return False
+        return CLEAN
     if HIDDEN.search(attributes):
-        return True
+        return DROPPED
+    found = CLEAN
     for kind, *values in ATTRIBUTE.findall(attributes):
-        words = PIECES.split("".join(values).lower())
-        if not (ROLES if kind.lower() == "role" else NAMES).isdisjoint(words):
-            return True
-    return False
+        value = "".join(values).lower()
+        if kind.lower() == "role":
+            if not ROLES.isdisjoint(PIECES.split(value)):
+                return DROPPED
+            continue
+        for token in value.split():
+            words = {word for word in PIECES.split(token) if word}
+            if in_article and not words.isdisjoint(WEAK):
+                if words <= WEAK | LAYOUT:
+                    found = SUSPECT
+                words -= WEAK
+            if not words.isdisjoint(NAMES):
+                return DROPPED
+    return found
 
 
 def _tokens(page: str) -> Iterator[tuple[int, int, str, str, str]]:
@@ -91,14 +111,15 @@ def _tokens(page: str) -> Iterator[tuple[int, int, str, str, str]]:
         yield token.start(), at, slash, name, attributes
 
 
-def page_lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
-    """Lines (text, characters inside links, boilerplate, in article), and whether an article is marked."""
-    lines: list[tuple[str, int, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, boilerplate, article
+def page_lines(page: str) -> tuple[list[tuple[str, int, int, bool]], bool]:
+    """Lines (text, characters inside links, kind, in article), and whether an article is marked."""
+    lines: list[tuple[str, int, int, bool]] = []
+    stack: list[tuple[str, int, bool]] = []  # name, kind, article
     pieces: list[str] = []
     linked = 0
     in_link = False
-    dropped = inside = marked = False
+    dropped = CLEAN
+    inside = marked = False
 
     def flush() -> None:
         nonlocal linked
@@ -110,7 +131,7 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
 
     def state() -> None:
         nonlocal dropped, inside
-        dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (CLEAN, False)
 
     def pop(to: int) -> None:
         del stack[to:]
@@ -154,12 +175,11 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
                     stack.pop()
                 state()
                 marked = marked or not dropped
-            bad = dropped or _is_boilerplate(name, attributes, inside)
-            stack.append((name, bad, inside or name in ARTICLES))
+            stack.append((name, max(dropped, _kind(name, attributes, inside)), inside or name in ARTICLES))
             state()
-        elif attributes and not attributes.endswith("/") and _is_boilerplate(name, attributes, inside):
+        elif attributes and not attributes.endswith("/") and (kind := _kind(name, attributes, inside)):
             flush()
-            stack.append((name, True, inside))
+            stack.append((name, max(dropped, kind), inside))
             state()
     if at < len(page):
         pieces.append(page[at:])
@@ -168,13 +188,16 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
 
 
 def main_text(page: str | None) -> str:
-    """The main text of one page, one line per block; empty if there is none."""
+    """The main text of one page, one line per block; empty if there is none. Very long pages are taken whole."""
     lines, marked = page_lines(page or "")
     lengths = [
         0
-        if bad or (marked and not inside) or (not marked and linked > LINKED * len(text))
+        if kind == DROPPED
+        or (kind == SUSPECT and (len(text) < SURGE or linked > LINKED * len(text)))
+        or (marked and not inside)
+        or (not marked and linked > LINKED * len(text))
         else len(text)
-        for text, linked, bad, inside in lines
+        for text, linked, kind, inside in lines
     ]
     surge = 1 if marked else SURGE
     sums = [sum(lengths[i : i + WINDOW]) for i in range(len(lengths))]
@@ -199,7 +222,8 @@ def main_text(page: str | None) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page; n_chars counts code points.
 
-    A null or empty page gives an empty text; null ids and urls stay as they are; repeated rows
+    A null or empty page gives an empty text, an empty table an empty result; a page of any length is taken whole;
+    of equal stretches of a page without a surge the first is its text; null ids and urls stay as they are; repeated rows
     are answered as often as they occur; other columns are not read.
     """
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from newslens.llm.main_text import extract, main_text
+from newslens.llm.tables import table
 
 LONG = "A sentence of the article that is long enough to count. " * 3
 
@@ -25,6 +28,25 @@ def test_unmarked_page_keeps_what_lies_between_surge_and_dive():
     assert main_text(page) == f"tiny\n{clean}\nok\n{clean}"
 
 
+def test_class_names_alone_drop_no_article_text():
+    def body(markup):
+        return main_text(f"<article><p>{LONG}</p>{markup}<p>{LONG}</p></article>").split("\n")[1:-1]
+
+    clean = LONG.strip()
+    assert body(f"<p class='notice'>{LONG}</p>") == [clean]
+    assert body("<p id='related-work'>Others did so</p>") == ["Others did so"]
+    assert body("<div class='share-price'>It fell</div>") == ["It fell"]
+    assert body("<div class='share-buttons'>Like</div>") == body(f"<div class='related'><a href=x>{LONG}</a></div>") == []
+    assert body(f"<div class='promo ad'>{LONG}</div>") == body(f"<div class=comment-list><p>{LONG}</div>") == []
+
+
+def test_surge_and_dive_find_the_same_text_without_the_marks(spark):
+    pages = table(spark, "/root/testdata/sf0.01", "pages")
+    bare = pages.rdd.map(lambda r: (r.page_id, r.url, re.sub(r"<(/?)(article|main)\b([^>]*)>", r"<\1div\3>", r.html or "")))
+    stripped = spark.createDataFrame(bare, "page_id long, url string, html string")
+    assert sorted(map(tuple, extract(pages).collect())) == sorted(map(tuple, extract(stripped).collect()))
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<nav>x</nav>") == ""
     assert main_text("plain") == "plain"
