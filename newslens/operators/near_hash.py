@@ -3,16 +3,18 @@
 The exact search of `nearest` holds a bounded table on every executor; this one bounds nothing. A vector is
 projected on random directions and each projection cut into steps; the steps of a few directions together are a
 bucket, and vectors that lie near one another share a bucket in one of several tables with high
-probability. Rows and queries meet by a join on the buckets (a band join), and what meets is ranked by its
-exact distance.
+probability. Rows and queries of a bucket go to one place, where each query is compared with all rows and only
+its nearest goes on: what is moved grows with the rows and queries, not with their pairs.
 
 Nothing is left out of a bucket. Where a bucket holds more than `BUCKET_ROWS` rows, its rows and queries are
-dealt on by further directions, level by level. A query that meets no row is answered by the exact
-search over the rows of a bounded sample.
+dealt on by further directions, level by level. What a bucket then holds beyond `BLOCK_ROWS` rows or
+`BLOCK_QUERIES` queries is cut into blocks, and every block of its rows meets every block of its queries.
+A query that meets no row is answered by the exact search over the rows of a bounded sample.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,8 +29,11 @@ from newslens.session import ship_package, written
 TABLES = 16
 HASHES = 6
 LEVELS = 3
-# Buckets with more rows are dealt on.
-BUCKET_ROWS = 4096
+# Buckets with more rows are dealt on, which costs recall: what a query meets is bounded by this.
+BUCKET_ROWS = 65_536
+# Rows and queries of a bucket that meet in one place.
+BLOCK_ROWS = 16_384
+BLOCK_QUERIES = 65_536
 # Rows, first in hash order, from which the width of a step is taken, and that answer queries without a neighbour.
 SAMPLE = 2000
 # Width of a step, in typical distances of nearest rows of the sample.
@@ -70,15 +75,68 @@ class Projections:
         return keys(vector)
 
 
-def _bucketed(rows: DataFrame, projections: Projections) -> DataFrame:
-    """`rows` once for each table, with `keys`, one bucket for each level."""
-    keyed = rows.withColumn("_all", projections.column("features"))
-    return keyed.select(*rows.columns, F.posexplode("_all").alias("table", "keys"))
+def _keyed(rows: DataFrame, projections: Projections, name: str) -> DataFrame:
+    """`rows` with `_all`, their keys, written: once for each row, not for each table."""
+    return written(rows.withColumn("_all", projections.column("features")), name)
 
 
-def _squared_distance(a: str, b: str) -> Column:
-    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.aggregate(squares, F.lit(0.0), lambda total, x: total + x)
+def _bucketed(keyed: DataFrame) -> DataFrame:
+    """The rows once for each table, with `keys`, one bucket for each level."""
+    kept = [c for c in keyed.columns if c != "_all"]
+    return keyed.select(*kept, F.posexplode("_all").alias("table", "keys"))
+
+
+def _blocks(rows: DataFrame, queries: DataFrame) -> DataFrame:
+    """(table, bucket, row_blocks, query_blocks) of the buckets that are cut; both sides have (table, bucket)."""
+    one, other = (side.groupBy("table", "bucket").agg(F.count("*").alias(n)) for side, n in ((rows, "n"), (queries, "m")))
+    cut = one.join(other, ["table", "bucket"]).where((F.col("n") > BLOCK_ROWS) | (F.col("m") > BLOCK_QUERIES))
+    return written(
+        cut.select(
+            "table", "bucket",
+            F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("row_blocks"),
+            F.ceil(F.col("m") / BLOCK_QUERIES).cast("int").alias("query_blocks"),
+        ),
+        "blocks",
+    )
+
+
+def _dealt(side: DataFrame, blocks: DataFrame, key: str, own: str, other: str) -> DataFrame:
+    """`side` with its block by a hash of `key`, once for each block of the other side."""
+    own_count, other_count = (F.coalesce(f"{kind}_blocks", F.lit(1)) for kind in (own, other))
+    return side.join(blocks, ["table", "bucket"], "left").select(
+        *side.columns,
+        F.pmod(F.xxhash64(key), own_count).cast("int").alias(f"{own}_block"),
+        F.explode(F.sequence(F.lit(0), other_count - 1)).alias(f"{other}_block"),
+    )
+
+
+_PLACE = ["table", "bucket", "row_block", "query_block"]
+
+
+def _meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The nearest row of its block for each query, from rows and queries in order of place, the rows first."""
+    here, held = None, []
+    for batch in batches:
+        places = batch[[*_PLACE, "asks"]].to_numpy(np.int64)
+        starts = np.flatnonzero(np.append(True, (places[1:] != places[:-1]).any(axis=1)))
+        found = []
+        for low, high in zip(starts, [*starts[1:], len(batch)], strict=True):
+            *place, asks = places[low].tolist()
+            if place != here:
+                here, held = place, []
+            part = batch.iloc[low:high]
+            if not asks:
+                held.append((_matrix(part["features"]), part["id"].to_numpy(), part["label"].to_numpy(dtype=object)))
+            elif held:
+                if len(held) > 1:
+                    held = [tuple(map(np.concatenate, zip(*held, strict=True)))]
+                vectors, ids, labels = held[0]
+                index, squares = _nearest_rows(_matrix(part["features"]), vectors)
+                found.append(
+                    pd.DataFrame({"query": part["query"].to_numpy(), "distance": squares, "id": ids[index], "label": labels[index]})
+                )
+        if found:
+            yield pd.concat(found)
 
 
 @dataclass
@@ -101,14 +159,24 @@ class HashedNeighbours:
         queries = df.select(F.col(key).alias("query"), vector)
         if self.projections is None:
             return queries.select(F.col("query").alias(key), F.lit(None).cast("string").alias(output)).distinct()
-        asked = written(queries.where(F.col("features").isNotNull()).groupBy("query").agg(F.min("features").alias("features")), "queries")
-        bucketed = _settled(_bucketed(asked, self.projections), self.hot)
-        near = bucketed.join(self.rows.withColumnRenamed("features", "other"), ["table", "bucket"]).select(
-            "query", F.struct(_squared_distance("features", "other").alias("distance"), "id", "label").alias("found")
+        asked = queries.where(F.col("features").isNotNull()).groupBy("query").agg(F.min("features").alias("features"))
+        asked = _keyed(asked, self.projections, "queries")
+        bucketed = _settled(_bucketed(asked), self.hot)
+        blocks = _blocks(self.rows, bucketed)
+        rows = _dealt(self.rows, blocks, "id", "row", "query").withColumn("asks", F.lit(False))
+        both = rows.unionByName(
+            _dealt(bucketed, blocks, "query", "query", "row").withColumn("asks", F.lit(True)), allowMissingColumns=True
+        )
+        near = (
+            both.repartition(*_PLACE)
+            .sortWithinPartitions(*_PLACE, "asks", "id")
+            .mapInPandas(_meet, _schema(both, "query", "distance double", "id", "label"))
         )
-        best = near.groupBy("query").agg(F.min("found").alias("found")).select("query", F.col("found.label").alias("label"))
+        found = F.struct("distance", "id", "label").alias("found")
+        best = near.select("query", found).groupBy("query").agg(F.min("found").alias("found"))
+        best = best.select("query", F.col("found.label").alias("label"))
         best = written(best, "found")
-        alone = self.sample.predict(asked.join(best, "query", "left_anti"), "label").select("query", "label")
+        alone = self.sample.predict(asked.drop("_all").join(best, "query", "left_anti"), "label").select("query", "label")
         answers = best.unionByName(alone).withColumnRenamed("query", "answered")
         every = queries.select("query").distinct()
         return every.join(answers, F.col("query").eqNullSafe(F.col("answered")), "left").select(
@@ -116,6 +184,11 @@ class HashedNeighbours:
         )
 
 
+def _schema(df: DataFrame, *columns: str) -> str:
+    """DDL of `columns`: names of `df`, or a name with its type."""
+    return ", ".join(c if " " in c else f"{c} {df.schema[c].dataType.simpleString()}" for c in columns)
+
+
 def _settled(bucketed: DataFrame, hot: DataFrame) -> DataFrame:
     """`bucketed` with `bucket`, the first of its keys that is not hot, or the last one."""
     out = bucketed.withColumn("bucket", F.get("keys", F.lit(0))).withColumn("_going", F.lit(True))
@@ -162,11 +235,11 @@ def fit_hashed(
     half = max(1, len(vectors) // 2)
     _, squares = _nearest_rows(vectors[:half], vectors[half:] if len(vectors) > 1 else vectors)
     projections = Projections.drawn(vectors.shape[1], max(1e-9, WIDTH * float(np.sqrt(np.median(squares)))), seed)
-    bucketed = written(_bucketed(distinct, projections), "bucketed")
+    bucketed = _bucketed(_keyed(distinct, projections, "keyed"))
     hot = empty
     for level in range(LEVELS - 1):
         here = bucketed.select("table", F.get("keys", F.lit(level)).alias("bucket")).groupBy("table", "bucket")
         full = here.count().where(F.col("count") > bucket_rows).select("table", "bucket", F.lit(level).alias("level"))
         hot = hot.unionByName(full)
     hot = written(hot, "hot_buckets")
-    return HashedNeighbours(written(_settled(bucketed, hot), "index"), hot, sample, projections)
+    return HashedNeighbours(_settled(bucketed, hot), hot, sample, projections)

@@ -30,19 +30,31 @@ def _matrix(column: pd.Series) -> np.ndarray:
 def _nearest_rows(queries: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index and squared distance of each query's nearest row, the first of equals.
 
-    Differences are squared and added dimension by dimension: no cancellation, and exact on
-    integers.
+    A product of matrices tells which rows may be nearest, within the error of its sums. Of these the differences
+    are squared and added dimension by dimension: no cancellation, and exact on integers. What is
+    not a number is nearest.
     """
     index = np.empty(len(queries), dtype=np.int64)
     best = np.empty(len(queries), dtype=np.float64)
     step = max(1, _WORK // max(1, len(rows)))
-    for start in range(0, len(queries), step):
-        part = queries[start : start + step]
-        squares = np.zeros((len(part), len(rows)))
-        for d in range(rows.shape[1]):
-            squares += np.square(part[:, d, None] - rows[None, :, d])
-        index[start : start + step] = squares.argmin(axis=1)
-        best[start : start + step] = squares.min(axis=1)
+    with np.errstate(invalid="ignore", over="ignore"):
+        norms, lengths = (np.square(x).sum(axis=1) for x in (rows, queries))
+        reach = 16 * (rows.shape[1] + 4) * np.finfo(np.float64).eps * (np.sqrt(lengths) + np.sqrt(norms.max())) ** 2
+        for start in range(0, len(queries), step):
+            part = queries[start : start + step]
+            rough = norms - 2 * (part @ rows.T)
+            limit = rough.min(axis=1) + reach[start : start + step]
+            # Where a sum is no number, every row is compared.
+            query, row = np.nonzero(~(rough > limit[:, None]))
+            squares = np.zeros(len(query))
+            for d in range(rows.shape[1]):
+                squares += np.square(part[query, d] - rows[row, d])
+            # Pairs come in order of queries, each of which has one at least.
+            firsts = np.searchsorted(query, np.arange(len(part)))
+            least = np.minimum.reduceat(squares, firsts)
+            best[start : start + step] = least
+            hits = np.flatnonzero((squares == least[query]) | np.isnan(squares))
+            index[start : start + step] = row[hits[np.searchsorted(query[hits], np.arange(len(part)))]]
     return index, best
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,3 +54,25 @@ def test_odd_rows(spark):
     assert _found(spark, rows, queries) == {1: "a", 2: "c", 3: None, 4: "c"}
     assert _found(spark, [], queries) == {1: None, 2: None, 3: None, 4: None}
     assert _found(spark, rows, []) == {}
+
+
+def test_cut_buckets_give_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(600, 8)).round(2)
+    rows = [(i, str(i), v.tolist()) for i, v in enumerate(vectors)]
+    queries = [(i, rng.normal(size=8).tolist()) for i in range(60)]
+    whole = _found(spark, rows, queries)
+    monkeypatch.setattr(N, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(N, "BLOCK_QUERIES", 7)
+    assert _found(spark, rows, queries) == whole
+
+
+def test_pairs_do_not_leave_their_place():
+    """Of all rows that meet a query in a block only the nearest goes on, of equal ones that of least id."""
+    names = ["table", "bucket", "row_block", "query_block", "asks", "id", "label", "features", "query"]
+    rows = [(0, 7, 0, 0, False, float(i), str(i), np.array([i // 2, 0.0]), None) for i in range(200)]
+    asked = [(0, 7, 0, 0, True, None, None, np.array([i, 0.2]), float(i)) for i in range(50)]
+    alone = [(0, 8, 0, 0, True, None, None, np.array([1.0, 0.0]), 99.0)]
+    every = pd.DataFrame(rows + asked + alone, columns=names)
+    found = pd.concat(N._meet(iter([every[:90], every[90:220], every[220:]])))
+    assert list(found["query"]) == list(range(50)) and list(found["id"]) == [2 * i for i in range(50)]
