@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens.session import ship_package, written
@@ -188,20 +188,23 @@ class BoostedTrees:
 
     def predict(self, df: DataFrame, output: str = "prediction") -> DataFrame:
         """`df`, which has an array column `features`, with a label; null for a null vector or no labels."""
-        ship_package(df.sparkSession)
-        shipped = df.sparkSession.sparkContext.broadcast(self)  # bounded by rounds and depth
+        return df.withColumn(output, self.prediction(df.sparkSession))
+
+    def prediction(self, spark: SparkSession) -> Column:
+        """The label as a column: one worker of a task answers several such columns of one step."""
+        ship_package(spark)
+        shipped = spark.sparkContext.broadcast(self)  # bounded by rounds and depth
 
         @F.pandas_udf("string")
-        def label(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def label(batch: pd.Series) -> pd.Series:
             model = shipped.value
-            for batch in batches:
-                found = pd.Series([None] * len(batch), dtype=object)
-                there = batch.notna().to_numpy()
-                if model.labels and there.any():
-                    found[there] = model.choose(np.array(batch[there].to_list(), np.float64))
-                yield found
-
-        return df.withColumn(output, label(F.col("features").cast("array<double>")))
+            found = pd.Series([None] * len(batch), dtype=object)
+            there = batch.notna().to_numpy()
+            if model.labels and there.any():
+                found[there] = model.choose(np.array(batch[there].to_list(), np.float64))
+            return found
+
+        return label(F.col("features").cast("array<double>"))
 
     def save(self, spark: SparkSession, path: str) -> None:
         rows = [

@@ -7,12 +7,11 @@ to their number.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens import constants as C
@@ -69,25 +68,27 @@ class NearestNeighbour:
 
         A null vector, or a model without rows, gives a null label.
         """
-        ship_package(df.sparkSession)
+        return df.withColumn(output, self.prediction(df.sparkSession))
+
+    def prediction(self, spark: SparkSession) -> Column:
+        """The label as a column: one worker of a task answers several such columns of one step."""
+        ship_package(spark)
         table = self.train.orderBy("id").select("features", "label").toPandas()
-        shipped = df.sparkSession.sparkContext.broadcast(
+        shipped = spark.sparkContext.broadcast(
             (_matrix(table["features"]), table["label"].to_numpy(dtype=object))
         )
 
         @F.pandas_udf("string")
-        def nearest_label(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def nearest_label(batch: pd.Series) -> pd.Series:
             rows, labels = shipped.value
-            for batch in batches:
-                found = pd.Series([None] * len(batch), dtype=object)
-                there = batch.notna().to_numpy()
-                if len(rows) and there.any():
-                    index, _ = _nearest_rows(_matrix(batch[there]), rows)
-                    found[there] = labels[index]
-                yield found
-
-        vector = F.col("features").cast("array<double>")
-        return df.withColumn(output, nearest_label(vector))
+            found = pd.Series([None] * len(batch), dtype=object)
+            there = batch.notna().to_numpy()
+            if len(rows) and there.any():
+                index, _ = _nearest_rows(_matrix(batch[there]), rows)
+                found[there] = labels[index]
+            return found
+
+        return nearest_label(F.col("features").cast("array<double>"))
 
 
 def fit_nearest(

@@ -173,10 +173,14 @@ def predict_wide(models: ModelSet, df: DataFrame) -> DataFrame:
     """
     names = F.array(*[F.lit(label) for label in models.labels])
     kept = df.columns
-    out = with_vector(df)
+    # Models that work in Python share one step, and so one worker of a task.
+    python = {f"_{n}": m.prediction(df.sparkSession) for n, m in models.fitted.items() if isinstance(m, NearestNeighbour | BoostedTrees)}
+    out = with_vector(df.withColumns(python))
     votes = []
     for name, model in models.fitted.items():
-        if isinstance(model, NearestNeighbour | BoostedTrees | LinearModel):
+        if f"_{name}" in python:
+            vote = F.col(f"_{name}")
+        elif isinstance(model, LinearModel):
             out = model.predict(out, f"_{name}")
             vote = F.col(f"_{name}")
         else:
@@ -189,9 +193,9 @@ def predict_wide(models: ModelSet, df: DataFrame) -> DataFrame:
 def predict_all(models: ModelSet, df: DataFrame) -> DataFrame:
     """(link, model, prediction), and label where `df` has one: one row per model."""
     kept = [c for c in ("link", "label") if c in df.columns]
-    return predict_wide(models, df).select(
-        *kept, F.explode("predictions").alias("model", "prediction")
-    )
+    # A plain explode would have Spark ask first whether the map is empty, and so have every model work twice.
+    exploded = F.explode_outer("predictions") if models.fitted else F.explode("predictions")
+    return predict_wide(models, df).select(*kept, exploded.alias("model", "prediction"))
 
 
 def accuracy_table(models: ModelSet, test: DataFrame) -> DataFrame:

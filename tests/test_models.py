@@ -134,6 +134,22 @@ def test_score_links(spark, models):
     assert scoring.score_links(posts, users, lexicon, models, none).collect() == []
 
 
+def test_python_voters_share_a_worker(spark, monkeypatch):
+    """One step of a task, and so one Python process, however many models work there; rows are those of each alone."""
+    monkeypatch.setattr(training, "_BOOSTED", Settings(rounds=3))
+    data = [(f"l{i}", f"c{i % 2}", [9 * (i % 2) + (i * (j + 1)) % 12 for j in range(6)]) for i in range(120)]
+    df = spark.createDataFrame(data, "link string, label string, features array<bigint>")
+    models = training.fit_models(df, ["knn", "xgb", "naiveBayes"])
+    both = training.predict_all(models, df)
+    assert both._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    asked = df.unionByName(df.limit(1).withColumns({"link": F.lit("none"), "features": F.lit(None).cast("array<bigint>")}))
+    found = {(r.link, r.model): r.prediction for r in training.predict_all(models, asked.where("link <> 'none'")).collect()}
+    for name in ("knn", "xgb"):
+        alone = {r.link: r.prediction for r in models.fitted[name].predict(asked).collect()}
+        assert alone.pop("none") is None
+        assert alone == {link: label for (link, model), label in found.items() if model == name}
+
+
 def test_workers_find_the_package_from_any_folder(tmp_path):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     script = f"""
