@@ -16,11 +16,15 @@ def score_links(
     lexicon: DataFrame,
     models: ModelSet,
     links: DataFrame | None = None,
+    vectors: DataFrame | None = None,
 ) -> DataFrame:
     """(link, credibility, fake_votes, real_votes, model_result, accuracy).
 
     All links of `posts`, or only those in `links`; a link without a known author has no row.
+    `vectors` (link, features) are those of all links of `posts`, where they are at hand: texts, which cost
+    most, are not scored again.
     """
-    wanted = posts if links is None else posts_for_links(posts, links)
-    vectors = assemble(link_features(wanted, users, lexicon))
+    if vectors is None or links is not None:
+        wanted = posts if links is None else posts_for_links(posts, links)
+        vectors = assemble(link_features(wanted, users, lexicon))
     return verdict_of_row(predict_wide(models, vectors), models.accuracy)

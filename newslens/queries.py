@@ -335,7 +335,10 @@ def _score_links(*voters: str, stored: bool = False) -> Query:
     """Verdicts on all links, trained on the labelled ones; or on given links, from stored models."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        models, _ = _split_and_fit(_training_set(spark, sf_dir), voters)
+        # Read twice, for the labelled links and for all; given links have vectors of their own posts.
+        vectors = written(assemble(features(spark, sf_dir)), "vectors")
+        labelled = label_features(vectors, X.labels(spark, sf_dir))
+        models, _ = _split_and_fit(stratified_split(written(labelled, "labelled")), voters)
         links = None
         if stored:
             path = fresh_path(spark, "models")
@@ -344,7 +347,7 @@ def _score_links(*voters: str, stored: bool = False) -> Query:
             wanted = X.labels(spark, sf_dir).where("credibility = 'fake'")
             links = wanted.select(F.col("news_url").alias("link"))
         scored = score_links(
-            X.posts(spark, sf_dir), X.repeated_users(spark, sf_dir), X.lexicon(spark), models, links
+            X.posts(spark, sf_dir), X.repeated_users(spark, sf_dir), X.lexicon(spark), models, links, vectors
         )
         return _flat_verdict(scored, voters)
 

@@ -150,6 +150,23 @@ def test_python_voters_share_a_worker(spark, monkeypatch):
         assert alone == {link: label for (link, model), label in found.items() if model == name}
 
 
+def test_vectors_at_hand_are_not_made_again(spark, models):
+    """Verdicts from given vectors are those from the posts, of which nothing is read then."""
+    lexicon = lexicon_table(spark, [("good", 50, 60), ("bad", -50, 60)])
+    posts = spark.createDataFrame(
+        [("a", "1", "good", 2), ("b", "1", "bad", 1)], "link string, tweet_id string, text string, retweets int"
+    )
+    users = spark.createDataFrame(
+        [("1", 5, 1, 10, True, 4)],
+        "tweetid string, followers_count int, friends_count int, account_age int, verified boolean, statuses_count int",
+    )
+    made = scoring.score_links(posts, users, lexicon, models)
+    vectors = training.assemble(scoring.link_features(posts, users, lexicon)).localCheckpoint()
+    given = scoring.score_links(posts, users, lexicon, models, vectors=vectors)
+    assert sorted(given.collect()) == sorted(made.collect()) and made.count() == 2
+    assert "tweet_id" not in given._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_workers_find_the_package_from_any_folder(tmp_path):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     script = f"""
