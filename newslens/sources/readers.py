@@ -112,9 +112,12 @@ def read_lines(
 
     The files are cut to fit: a scan takes its split size from the session that it was made by, so this
     one is made by a session of its own. Files that cannot be cut (gzip) stay one task each, and
-    files of less than `min_partitions` bytes give fewer tasks.
+    files of less than `min_partitions` bytes give fewer tasks. Splits are whole bytes, so small files may give a few
+    too many, which are read together.
     """
     own = spark.newSession()
     own.conf.set("spark.sql.files.minPartitionNum", str(min_partitions))
     own.conf.set("spark.sql.files.openCostInBytes", "1")
-    return own.read.text(path)
+    lines = own.read.text(path)
+    found = lines.rdd.getNumPartitions()
+    return lines.coalesce(min_partitions) if min_partitions < found < 2 * min_partitions else lines
