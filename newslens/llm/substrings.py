@@ -5,8 +5,9 @@ cut by content, so that equal windows meet in one shard and no shard needs anoth
 
 1. A window's anchor is the least hash of its GRAM-word runs. Neighbouring windows with one anchor make
    a segment. Only segments whose anchor occurs again can repeat; the others stop here.
-2. Equal segments become one, with its first place. Shards are made of whole anchors.
-3. In a shard, the segments' words are indexed (Burrows-Wheeler transform, wavelet matrix), and all
+2. Shards are made of whole anchors. In a shard equal segments become one, with its first place; one that
+   shares its anchor with no other, and whose words repeat too little to hold a window twice, is settled.
+3. The words of a shard's other segments are indexed (Burrows-Wheeler transform, wavelet matrix), and all
    windows are streamed through backward search. Matching statistics below WINDOW end a window's
    search; an interval at WINDOW holds all its places, the least of which is its first start.
    Where an anchor has too many segments for one shard, its windows are named by a 128-bit hash, as
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -158,7 +160,7 @@ SEGMENTS = (
 
 
 def _cut_segments(texts: DataFrame, spots: DataFrame) -> DataFrame:
-    """The candidate segments with their words; in a batch, equal ones carry them once."""
+    """The candidate segments with their words; in a batch, only the first place of equal ones carries them."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -167,19 +169,21 @@ def _cut_segments(texts: DataFrame, spots: DataFrame) -> DataFrame:
         for batch in batches:
             seen: set[bytes] = set()
             rows: list[tuple] = []
-            for rid, place, value, wanted in zip(
-                batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2),
-                batch.column(3).to_pylist(), strict=True,
-            ):
-                words = unpack.decompress(value.as_py()).split()
-                starts, _, anchors, _ = segments_of(words)
-                anchor_at = dict(zip(starts.tolist(), anchors.tolist(), strict=True))
-                for spot in wanted:
-                    start, windows = spot >> 8, (spot & 255) + 1
+            rids, places, wanted = (batch.column(i).to_pylist() for i in (0, 1, 3))
+            for place, same in groupby(sorted(range(len(rids)), key=places.__getitem__), places.__getitem__):
+                # Rows that repeat an id share its places, so their segments are put in one order.
+                found = []
+                for i in same:
+                    words = unpack.decompress(batch.column(2)[i].as_py()).split()
+                    starts, _, anchors, _ = segments_of(words)
+                    anchor_at = dict(zip(starts.tolist(), anchors.tolist(), strict=True))
+                    found += [(spot >> 8, (spot & 255) + 1, rids[i], words, anchor_at[spot >> 8]) for spot in wanted[i]]
+                found.sort(key=lambda segment: segment[0])
+                for start, windows, rid, words, anchor in found:
                     content = b" ".join(words[start : start + windows + WINDOW - 1])
                     name = xxhash.xxh3_128_digest(content)
                     k1, k2 = np.frombuffer(name, np.int64).tolist()
-                    rows.append((rid, place, start, windows, anchor_at[start], k1, k2, None if name in seen else content))
+                    rows.append((rid, place, start, windows, anchor, k1, k2, None if name in seen else content))
                     seen.add(name)
                 if len(rows) > 20_000:
                     yield _batch(rows, names, kinds)
@@ -270,43 +274,82 @@ def _late_by_hash(segments: DataFrame) -> DataFrame:
     return windows.withColumn("rank", rank).where("known OR rank > 1").select("k1", "k2", "offset")
 
 
-def repeated_windows(distinct: DataFrame) -> DataFrame:
-    """(k1, k2, offset): windows of distinct segments that start earlier in another segment.
+FIRSTS = "k1 long, k2 long, p long, s long, offsets array<long>"
+
+
+def _holds_twice(words: list[bytes]) -> bool:
+    """Whether a window may stand twice in `words`: then each word of the later one stands before it, too."""
+    return len(set(words)) <= len(words) - WINDOW
+
+
+def first_segments(segments: DataFrame) -> DataFrame:
+    """(k1, k2, p, s, offsets): each distinct segment, its first place, and its windows that start earlier.
 
-    `distinct` has (anchor, k1, k2, place, start, words). Equal windows have one anchor, so those of
-    anchors with more than HOT segments are settled by themselves, and no shard grows without bound.
+    `segments` has (anchor, k1, k2, place, start, words); rows without words stand behind one of the
+    same segment that has them. Words move once, to the shard of their anchor. Equal windows have one
+    anchor, so those of anchors with more than HOT rows are settled by themselves, and no shard grows
+    without bound.
     """
-    hot = written(distinct.groupBy("anchor").agg(F.count("*").alias("many")).where(F.col("many") > HOT).select("anchor"), "hot")
+    rows = segments.where("words IS NOT NULL").select("anchor", "k1", "k2", "place", "start", "words")
+    hot = written(rows.groupBy("anchor").agg(F.count("*").alias("many")).where(F.col("many") > HOT).select("anchor"), "hot")
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Distinct segments: of the anchor at hand, to be indexed, and settled ones as rows of FIRSTS.
+        group: list[tuple] = []
         held: list[tuple] = []
+        settled: list[tuple] = []
         size = 0
 
+        def close() -> int:
+            """Words of the group, if it is to be indexed."""
+            texts = [row[5].split(b" ") for row in group]
+            if len(group) == 1 and not _holds_twice(texts[0]):
+                settled.append((*group[0][1:5], None))
+                more = 0
+            else:
+                held.extend((*row[1:5], words) for row, words in zip(group, texts, strict=True))
+                more = sum(len(words) + 1 for words in texts)
+            group.clear()
+            return more
+
         def report() -> pa.RecordBatch:
-            gone = index_shard(
-                [row[5].split(b" ") for row in held],
-                np.array([row[3] for row in held]), np.array([row[4] for row in held]),
-            )
-            rows = [(row[1], row[2], o) for row, late in zip(held, gone, strict=True) for o in late.tolist()]
+            if held:
+                gone = index_shard([row[4] for row in held], np.array([row[2] for row in held]), np.array([row[3] for row in held]))
+                settled.extend((*row[:4], late.tolist()) for row, late in zip(held, gone, strict=True))
+            columns = list(zip(*settled, strict=True)) or [()] * 5
             held.clear()
-            columns = zip(*rows, strict=True) if rows else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["k1", "k2", "offset"])
+            settled.clear()
+            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["k1", "k2", "p", "s", "offsets"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size >= SHARD_WORDS and row[0] != held[-1][0]:
-                    yield report()
-                    size = 0
-                held.append(row)
-                size += row[5].count(b" ") + 2
-        if held:
+                if group and row[0] != group[-1][0]:
+                    size += close()
+                    if size >= SHARD_WORDS or len(settled) > 20_000:
+                        yield report()
+                        size = 0
+                # Equal segments stand together, the first place before the others.
+                if not group or row[1:3] != group[-1][1:3]:
+                    group.append(row)
+        if group:
+            close()
+        if held or settled:
             yield report()
 
-    rows = distinct.select("anchor", "k1", "k2", "place", "start", "words")
     none_hot = hot.isEmpty()
-    cold = rows if none_hot else rows.join(F.broadcast(hot), "anchor", "left_anti")
-    late = cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(index, "k1 long, k2 long, offset long")
-    return late if none_hot else late.unionByName(_late_by_hash(rows.join(F.broadcast(hot), "anchor")))
+    cold = rows if none_hot else rows.join(F.broadcast(hot), "anchor", "left_anti").select(*rows.columns)
+    sharded = cold.repartition("anchor").sortWithinPartitions("anchor", "k1", "k2", "place", "start")
+    found = sharded.mapInArrow(index, FIRSTS)
+    if none_hot:
+        return found
+    distinct = rows.join(F.broadcast(hot), "anchor").groupBy("k1", "k2").agg(
+        F.min(F.struct("place", "start")).alias("at"), F.first("words").alias("words")
+    )
+    distinct = written(distinct.select("k1", "k2", "at.place", "at.start", "words"), "distinct")
+    late = _late_by_hash(distinct).groupBy("k1", "k2").agg(F.collect_set("offset").alias("offsets"))
+    firsts = distinct.select("k1", "k2", F.col("place").alias("p"), F.col("start").alias("s"))
+    return found.unionByName(firsts.join(late, ["k1", "k2"], "left"))
 
 
 def removed_intervals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -316,12 +359,7 @@ def removed_intervals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     texts = _packed_texts(docs)
     segments = written(_cut_segments(texts, candidate_segments(docs)), "segments")
-    distinct = segments.groupBy("anchor", "k1", "k2").agg(
-        F.min(F.struct("place", "start")).alias("at"), F.first("words", ignorenulls=True).alias("words")
-    )
-    distinct = written(distinct.select("anchor", "k1", "k2", "at.place", "at.start", "words"), "distinct")
-    late = repeated_windows(distinct).groupBy("k1", "k2").agg(F.collect_set("offset").alias("offsets"))
-    firsts = distinct.select("k1", "k2", F.col("place").alias("p"), F.col("start").alias("s")).join(late, ["k1", "k2"], "left")
+    firsts = first_segments(segments)
     spots = segments.select("rid", "place", "start", "windows", "k1", "k2").join(firsts, ["k1", "k2"])
     whole = F.array(F.shiftleft("start", 8).bitwiseOR(F.col("windows") - 1))
     single = F.transform("offsets", lambda o: F.shiftleft(F.col("start") + o, 8))

@@ -13,6 +13,7 @@ from pyspark import cloudpickle
 from newslens.llm import substrings as S
 from newslens.llm.fm_index import FMIndex, WaveletMatrix
 from newslens.llm.tables import table
+from newslens.session import written
 
 
 def test_wavelet_matrix_counts():
@@ -120,3 +121,27 @@ def test_passage_at_the_border_of_many_segments_fills_no_shard(spark, monkeypatc
         cloudpickle.unregister_pickle_by_value(S)
     assert got == plain(rows)
     assert sum(r[2] for r in got) == 299 * 60
+
+
+def test_words_of_segments_move_once_and_lone_segments_are_not_indexed(spark, monkeypatch):
+    rng = random.Random(9)
+    texts = [" ".join(f"u{rng.randrange(10**9)}" for _ in range(60)) for _ in range(20)]
+    rows = [(7 * i % 400 + 1, texts[i % 20]) for i in range(100)]
+    tables = []
+
+    def noted(df, name):
+        tables.append(name)
+        return written(df, name)
+
+    def none(texts, places, starts):
+        raise AssertionError(f"{len(texts)} segments were indexed, none shares its anchor")
+
+    monkeypatch.setattr(S, "written", noted)
+    monkeypatch.setattr(S, "index_shard", none)
+    cloudpickle.register_pickle_by_value(S)  # workers get the module as it is patched here
+    try:
+        got = sorted(map(tuple, S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()), key=repr)
+    finally:
+        cloudpickle.unregister_pickle_by_value(S)
+    assert got == plain(rows) and sum(r[2] for r in got) == 80 * 60
+    assert sorted(tables) == ["hot", "segments"]
