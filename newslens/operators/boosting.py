@@ -5,13 +5,16 @@ gradients and curvatures of its rows by (node, feature, bin), the sums are added
 and the driver, which holds nothing but those sums and the trees, takes the cut of each node whose
 regularised gain is largest. Two labels share one tree a round, more have one tree each.
 
-The margins of a row follow from the trees made so far, so a pass keeps no state of its own: a task
-that is lost is run again from the stored rows. Gradients are summed as whole numbers, which makes the
+The margins of a row follow from the trees made so far. A worker keeps those of the blocks it met last and
+adds what later trees give; what it does not have it works out from all trees, so a task that is lost is
+run again from the stored rows. Gradients are summed as whole numbers, which makes the
 sums, and so the trees, the same in whatever order the tasks end.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections import OrderedDict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -71,14 +74,33 @@ class Settings:
     min_gain: float = 1e-6
 
 
-def _margins(trees: list[list[Tree]], rows: np.ndarray, parts: int) -> np.ndarray:
-    out = np.zeros((len(rows), parts))
+def _add(out: np.ndarray, trees: list[list[Tree]], rows: np.ndarray) -> np.ndarray:
     for made in trees:
         for part, tree in enumerate(made):
             out[:, part] += np.array(tree.value)[tree.leaves(rows)]
     return out
 
 
+def _margins(trees: list[list[Tree]], rows: np.ndarray, parts: int) -> np.ndarray:
+    return _add(np.zeros((len(rows), parts)), trees, rows)
+
+
+# In a worker: (number of rounds, margins) of the blocks met last.
+_at_hand: OrderedDict[str, tuple[int, np.ndarray]] = OrderedDict()
+_AT_HAND_BYTES = 16 << 20
+
+
+def _margins_so_far(name: str, done: list[list[Tree]], rows: np.ndarray, parts: int) -> np.ndarray:
+    """`_margins`, where only the trees that the worker has not added before are followed."""
+    made, out = _at_hand.pop(name, (0, None))
+    if out is None or made > len(done):
+        made, out = 0, np.zeros((len(rows), parts))
+    _at_hand[name] = len(done), _add(out, done[made:], rows)
+    while sum(held.nbytes for _, held in _at_hand.values()) > _AT_HAND_BYTES:
+        _at_hand.popitem(last=False)
+    return out
+
+
 def slopes(margins: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and second derivatives of the loss by margin: logistic for one margin, softmax for more."""
     if margins.shape[1] == 1:
@@ -89,12 +111,12 @@ def slopes(margins: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.nda
     return p - (np.arange(margins.shape[1]) == targets[:, None]), np.minimum(1, 2 * p * (1 - p))
 
 
-def _sums(block: tuple[np.ndarray, np.ndarray], done: list[list[Tree]], growing: list[Tree],
+def _sums(block: tuple[str, np.ndarray, np.ndarray], done: list[list[Tree]], growing: list[Tree],
           open_nodes: list[list[int]], bins: int) -> np.ndarray:
     """[gradient or curvature, node, feature, bin] over the rows of a block; nodes part by part."""
-    rows, targets = block
+    name, rows, targets = block
     width = rows.shape[1]
-    g, h = (np.rint(x * _SCALE) for x in slopes(_margins(done, rows, len(growing)), targets))
+    g, h = (np.rint(x * _SCALE) for x in slopes(_margins_so_far(name, done, rows, len(growing)), targets))
     out, offsets = [], np.arange(width) * bins
     for part, (tree, nodes) in enumerate(zip(growing, open_nodes, strict=True)):
         place = np.full(len(tree.value), -1)
@@ -277,11 +299,12 @@ def fit_boosted(
 
     stored = written(rows.mapInPandas(binned, "target int, cells binary"), "binned")
 
-    def block(part: Iterable) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def block(part: Iterable) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
         part = list(part)
         if part:
             cells = np.frombuffer(b"".join(bytes(row.cells) for row in part), np.uint8)
-            yield cells.reshape(len(part), -1).astype(np.int64), np.array([row.target for row in part])
+            # A name for this reading: a block that is read again may hold its rows in another order.
+            yield uuid.uuid4().hex, cells.reshape(len(part), -1), np.array([row.target for row in part])
 
     tasks = -(-sum(row.rows for row in facts) // _BLOCK_ROWS)
     blocks = stored.coalesce(tasks).rdd.mapPartitions(block).persist()

@@ -2,16 +2,76 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslens.functions.text import (
     mean_hundredths,
     sentiment_bin,
     subjectivity_bin,
+    without_links,
     words,
 )
 from newslens.operators.skew import fits_broadcast, spread_join
+from newslens.session import ship_package
+
+
+# The byte of a word's character, 0 for any other byte. Those of other characters in UTF-8 are all above 127.
+_PLAIN = np.array([i if chr(i) in "0123456789abcdefghijklmnopqrstuvwxyz" else 0 for i in range(256)], np.uint8)
+
+
+def _known_words(texts: pa.Array, known: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(text, entry) of every word of texts `without_links` that is an entry of `known`.
+
+    All texts lie in one run of bytes, which is worked on as a whole.
+    """
+    texts = texts.cast(pa.large_binary())
+    _, offsets, data = texts.buffers()
+    if not len(texts) or data is None:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    ends = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    text = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    plain = _PLAIN[text]
+    inside = plain != 0
+    # Words begin and end at other bytes, and where one text stops and the next begins.
+    begins, closes = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    closes[:-1] &= ~inside[1:]
+    borders = ends[(ends > 0) & (ends < len(text))]
+    begins[borders] = inside[borders]
+    closes[borders - 1] = inside[borders - 1]
+    first = np.flatnonzero(begins)
+    lengths = np.flatnonzero(closes) + 1 - first
+    places = np.concatenate([[0], np.cumsum(lengths)])
+    words = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(places), pa.py_buffer(plain[inside]))
+    entry = pc.fill_null(pc.index_in(words, known), -1).to_numpy(zero_copy_only=False)
+    hits = np.flatnonzero(entry >= 0)
+    first, entry = first[hits], entry[hits]
+    of = np.searchsorted(ends, first, "right") - 1
+    mention = (first > ends[of]) & (text[first - 1] == ord("@"))
+    return of[~mention], entry[~mention]
+
+
+def _sums(lexicon: pd.DataFrame) -> Callable[[Column], Column]:
+    """Sums of polarity, subjectivity and weight over the words of a text `without_links`."""
+    entries = lexicon.groupby("word")[["pol", "sub", "weight"]].sum()
+    known, weights = pa.array(entries.index, pa.large_string()), [entries[name].to_numpy(np.float64) for name in entries]
+
+    @F.arrow_udf("pol bigint, sub bigint, matches bigint")
+    def sums(texts: pa.Array) -> pa.Array:
+        of, entry = _known_words(texts, known)
+        # Whole numbers: exact as doubles.
+        found = [np.bincount(of, w[entry], len(texts)).astype(np.int64) for w in weights]
+        return pa.StructArray.from_arrays(list(map(pa.array, found)), ["pol", "sub", "matches"])
+
+    return sums
 
 
 def score_sentiment(posts: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
@@ -20,14 +80,31 @@ def score_sentiment(posts: DataFrame, lexicon: DataFrame, keys: list[str]) -> Da
     `keys` must tell apart texts that differ. Rows equal in `keys` have the same text, and
     counting its words twice leaves the means unchanged.
 
-    Words meet the lexicon by a join, broadcast when the lexicon is small, so only words that
-    match go on. Each text also carries the empty word, matched by a weightless lexicon row:
-    a text without any known word keeps its place, at (0, 0). Words of one text stay in one
-    task up to the aggregation, whose map-side half therefore leaves one narrow row per text.
+    A lexicon small enough to broadcast goes to the tasks, which find its words in whole batches of
+    texts: no word becomes a row, and one narrow row per text goes on. Otherwise words meet it by a join.
+    """
+    if fits_broadcast(lexicon):
+        pol, sub = (F.coalesce(F.col(c).cast("bigint"), F.lit(0)).alias(c) for c in ("pol", "sub"))
+        # As many rows as a broadcast would have.
+        small = lexicon.where("word IS NOT NULL").select("word", pol, sub, F.lit(1).alias("weight")).toPandas()
+        if "" not in set(small["word"]):
+            ship_package(posts.sparkSession)
+            sums = _sums(small)(without_links("text"))
+            return _means(posts.select(*keys, sums.alias("sums")).select(*keys, "sums.*"), keys)
+    return _means(_met(posts, lexicon, keys), keys)
+
+
+def _met(posts: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, pol, sub, matches) of every word of a text that the lexicon has, by a join.
+
+    Each text also carries the empty word, matched by a weightless lexicon row: a text without any
+    known word keeps its place, at (0, 0). The words shuffle: first repeats within a text, and of
+    whole posts, are counted.
     """
     found = posts.select(
         *keys, F.explode(F.array_append(words("text"), F.lit(""))).alias("word")
     )
+    found = found.groupBy(*keys, "word").agg(F.count("*").alias("times"))
     weighed = lexicon.select("word", "pol", "sub", F.lit(1).alias("weight"))
     no_word = lexicon.sparkSession.range(0, 1, 1, 1).select(
         F.lit("").alias("word"),
@@ -35,20 +112,17 @@ def score_sentiment(posts: DataFrame, lexicon: DataFrame, keys: list[str]) -> Da
         F.lit(0).alias("sub"),
         F.lit(0).alias("weight"),
     )
-    known = weighed.unionByName(no_word)
-    times = F.lit(1)
-    if not fits_broadcast(known):
-        # The words shuffle too: first repeats within a text, and of whole posts, are counted.
-        found = found.groupBy(*keys, "word").agg(F.count("*").alias("times"))
-        times = F.col("times")
-    matched = spread_join(found, known, "word", keys)
+    matched = spread_join(found, weighed.unionByName(no_word), "word", keys)
+    times = F.col("times")
+    return matched.select(
+        *keys, (F.col("pol") * times).alias("pol"), (F.col("sub") * times).alias("sub"), (F.col("weight") * times).alias("matches")
+    )
+
+
+def _means(counted: DataFrame, keys: list[str]) -> DataFrame:
     return (
-        matched.groupBy(*keys)
-        .agg(
-            F.sum(F.col("pol") * times).alias("pol"),
-            F.sum(F.col("sub") * times).alias("sub"),
-            F.sum(F.col("weight") * times).alias("matches"),
-        )
+        counted.groupBy(*keys)
+        .agg(F.sum("pol").alias("pol"), F.sum("sub").alias("sub"), F.sum("matches").alias("matches"))
         .select(
             *keys,
             mean_hundredths(F.col("pol"), F.col("matches")).alias("polarity"),

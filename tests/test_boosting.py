@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pytest
 
+from newslens.operators import boosting
 from newslens.operators.boosting import BoostedTrees, Settings, fit_boosted
 from newslens.plans import training
 
@@ -108,3 +109,28 @@ def test_voter_is_learnt_saved_and_loaded_with_the_others(spark, tmp_path):
     loaded = training.ModelSet.load(spark, str(tmp_path / "set"))
     found = training.predict_all(loaded, rows).collect()
     assert len(found) == len(data) and all(r.label == r.prediction for r in found)
+
+
+def test_a_pass_follows_only_the_trees_that_are_new(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = rng.integers(0, 9, (60, 3)).astype(np.uint8)
+    targets = (rows[:, 0] > rng.integers(0, 9, 60)).astype(int)
+    followed, leaves = [], boosting.Tree.leaves
+
+    def counted(tree, values):
+        followed.append(len(followed))
+        return leaves(tree, values)
+
+    def passes(name):
+        return lambda done, growing, nodes: boosting._sums((name(), rows, targets), done, growing, nodes, 9)
+
+    settings = Settings(rounds=12, depth=2, min_curvature=0.1)
+    names = iter(map(str, range(10_000)))
+    plain = boosting.grow(passes(lambda: "never met " + next(names)), 1, settings)
+    monkeypatch.setattr(boosting.Tree, "leaves", counted)
+    kept = boosting.grow(passes(lambda: "one"), 1, settings)
+    assert kept == plain and len(kept) == 12
+    # A growing tree once a level, a finished one once in all; before, every finished one in every pass.
+    assert len(followed) <= 12 * 2 + 12
+    monkeypatch.setattr(boosting, "_AT_HAND_BYTES", 0)
+    assert boosting.grow(passes(lambda: "two"), 1, settings) == plain and not boosting._at_hand

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newslens.functions.lexicon import lexicon_table
-from newslens.operators import accounts, histograms, sampling, skew, votes
+from newslens.operators import accounts, histograms, sampling, sentiment, skew, votes
 from newslens.operators.dedupe import dedupe_posts, dedupe_users
 from newslens.operators.labels import label_features
 from newslens.operators.nearest import fit_nearest
@@ -194,6 +194,28 @@ def test_scores(spark):
     assert got == [("1", 50 / 300, 180 / 300), ("2", 0.0, 0.0), ("3", 0.0, 0.0), ("4", 0.0, 0.0)]
 
 
+def test_scores_are_found_without_a_row_a_word(spark):
+    pieces = ["good", "bad", "good1", "fact", " ", " ", "\t", "@", "@good", "http", "://", "good://bad", "_", "é", "İ", "K", "日", "\xa0", "."]
+    rng = random.Random(3)
+    texts = [(str(i), "".join(rng.choices(pieces, k=rng.randrange(9)))) for i in range(1500)]
+    texts += [("@", "@"), ("after an @", "good"), ("null", None), ("none", ""), ("repeat", "good"), ("repeat", "good")]
+    df = spark.createDataFrame(texts, "id string, text string").coalesce(1)
+    entries = [*LEXICON, ("good", 10, 20), ("none", -30, 0), ("k", 70, 7), (None, 5, 5), ("i", None, 9)]
+    lexicon = lexicon_table(spark, entries)
+    scored = score_sentiment(df, lexicon, ["id"])
+    assert "Generate" not in scored._jdf.queryExecution().optimizedPlan().toString()
+    met = sentiment._means(sentiment._met(df, lexicon, ["id"]), ["id"])
+    found = rows(scored)
+    assert found == rows(met) and len(found) == 1505
+    assert sum(row[1] != 0 for row in found) > 300
+
+
+def test_scores_with_the_empty_word_in_the_lexicon(spark):
+    df = spark.createDataFrame([("1", "good"), ("2", "x")], "id string, text string")
+    got = rows(score_sentiment(df, lexicon_table(spark, [*LEXICON, ("", 100, 0)]), ["id"]))
+    assert got == [("1", 0.75, 0.3), ("2", 1.0, 0.0)]
+
+
 def test_scores_of_repeated_rows_and_shuffled_lexicon(spark, no_broadcast):
     texts = [("1", "good bad good good")] * 50 + [("2", "bad x")] * 3
     df = spark.createDataFrame(texts, "id string, text string")
