@@ -18,8 +18,6 @@ _MENTIONS_AND_MARKS = rf"{C.MENTION}|@|[^0-9a-z@]+"
 _WORD, _SOLID = r"[0-9a-z_\p{L}\p{N}]", r"[^\p{IsWhite_Space}\x{1c}-\x{1f}]"
 _URL = C.URL.replace(r"\w+", f"{_WORD}++").replace(r"\S+", f"{_SOLID}++")
 _ALL_NOISE = rf"{C.MENTION}|{C.NOT_PLAIN}|(?<![0-9A-Za-z]){_URL}"
-# The links that `_ALL_NOISE` finds, without its mentions and marks: what follows an `@` is a mention by then.
-_LINK = rf"(?<![0-9a-z@])(?=[0-9a-z]){_URL}"
 
 
 def _col(c: Column | str) -> Column:
@@ -65,12 +63,6 @@ def words(text: Column | str) -> Column:
     )
 
 
-def without_links(text: Column | str) -> Column:
-    """Lower-cased text, a blank for each link. Its runs of [0-9a-z] that no `@` stands before are its `words`."""
-    lower = F.lower(F.coalesce(_col(text), F.lit(C.NULL_TEXT)))
-    return F.when(F.contains(lower, F.lit("://")), F.regexp_replace(lower, _LINK, " ")).otherwise(lower)
-
-
 def fingerprint(text: Column | str) -> Column:
     """16 bytes that stand for a whole text wherever texts only need to be told apart."""
     return F.unhex(F.md5(text))
