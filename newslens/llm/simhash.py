@@ -142,14 +142,15 @@ def _index_links(sized: DataFrame, max_bits: int) -> DataFrame:
         (F.col("largest") == F.col("size"))
         & ((F.col("low") != F.col("component")) | (F.col("high") != F.col("component")))
     )
-    probes = probes.join(buckets, [probes.key == buckets.key, useful]).select(
+    # Spark takes the exploded sides for as small as `sized`, so it must be told not to broadcast them.
+    probes = probes.join(buckets.hint("merge"), [probes.key == buckets.key, useful]).select(
         probes.key, "fp", "component", "size"
     )
     smaller = (F.col("size") < F.col("size_b")) | (
         (F.col("size") == F.col("size_b")) & (F.col("component") < F.col("b"))
     )
     close = _bit_distance("fp", "fp_b") <= max_bits
-    found = probes.join(entries, [probes.key == entries.key, smaller, close])
+    found = probes.join(entries.hint("merge"), [probes.key == entries.key, smaller, close])
     return found.select(F.col("component").alias("a"), "b").distinct()
 
 

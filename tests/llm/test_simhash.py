@@ -82,6 +82,17 @@ def test_chain_of_single_bits_is_one_component(spark):
     assert links == near
 
 
+def test_exploded_keys_are_never_broadcast(spark, tmp_path):
+    from newslens.llm.simhash import _index_links
+
+    path = str(tmp_path / "sized")
+    spark.range(200).selectExpr("xxhash64(id) AS fp", "id AS component", "1L AS size").write.parquet(path)
+    sized = spark.read.parquet(path)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") not in ("-1", "0")
+    plan = _index_links(sized, 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
+
+
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
