@@ -100,7 +100,8 @@ def containments(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     candidates = written(candidates.join(wanted, "item"), "candidates")
     # Only the texts of documents with a candidate move, where the list of these is small.
     hit = written(candidates.select("doc_id").distinct(), "hit")
-    held = rows.join(hit, "doc_id", "left_semi").join(candidates, "doc_id").select(
+    # Files hold an item's shingles once for many rows, so Spark takes the candidates for far smaller than they are in memory.
+    held = rows.join(hit, "doc_id", "left_semi").join(candidates.hint("merge"), "doc_id").select(
         "doc_id", "item_id", "wanted", shingles(F.col("text")).alias("held")
     )
     share = F.size(F.array_intersect("wanted", "held")) / F.size("wanted")

@@ -65,3 +65,15 @@ def test_given_documents(spark):
     got = sorted(map(tuple, containments(docs, items).collect()))
     assert got == plain([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
     assert got
+
+
+def test_candidates_are_never_broadcast(spark, tmp_path):
+    """Their files are far smaller than they are: an item's shingles stand there once for many rows."""
+    path = str(tmp_path / "docs")
+    text = " ".join(f"w{i}" for i in range(40))
+    spark.createDataFrame([(i, text) for i in range(50)], "doc_id long, text string").write.parquet(path)
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    found = containments(spark.read.parquet(path), items)
+    assert found.count() == 50
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=merge)" in plan
