@@ -1,25 +1,30 @@
 """Exact 1-nearest-neighbour by Euclidean distance; of equally near rows the smallest id wins.
 
-Labelled rows are few beside what is scored: a fit takes at most `max_train_rows` of them, the first in
-hash order. That table goes to every executor, and queries stream past it at a cost in proportion
-to their number.
+Every labelled row counts. A small table goes to every executor and queries stream past it. Of a larger one
+nothing goes through the driver: distinct queries that equal a row are answered by a join, and blocks of the
+others meet blocks of rows, of which only a query's nearest row goes on.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens import constants as C
 from newslens.operators.sampling import cap_rows
 from newslens.session import ship_package, written
 
 # Numbers held at once while comparing a batch.
 _WORK = 250_000
+# A table of at most so many rows goes to every executor whole.
+TABLE_ROWS = 16_384
+# Rows, and queries, of a block.
+BLOCK_ROWS = 32_768
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -57,21 +62,64 @@ def _nearest_rows(queries: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np
     return index, best
 
 
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nearest row of its block for each query, from one block of rows in order of id, then one of queries.
+
+    What is not a number is nearest, so it gets a distance below all others.
+    """
+    held: list[pa.RecordBatch] = []
+    rows = vectors = None
+    for batch in batches:
+        first = int(np.count_nonzero(~batch.column("asks").to_numpy(zero_copy_only=False)))
+        if first:
+            held.append(batch.slice(0, first))
+        asked = batch.slice(first)
+        if not len(asked):
+            continue
+        if held:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            vectors, held = _matrix(rows.column("features").to_pandas()), []
+        if rows is None:
+            continue
+        index, squares = _nearest_rows(_matrix(asked.column("features").to_pandas()), vectors)
+        near = rows.select(["id", "label"]).take(pa.array(index)).combine_chunks().to_batches()[0]
+        yield pa.RecordBatch.from_arrays(
+            [asked.column("query"), pa.array(np.where(np.isnan(squares), -1.0, squares)), near.column("id"), near.column("label")],
+            ["query", "distance", "id", "label"],
+        )
+
+
+def _finite() -> Column:
+    """Whether every value of `features` is a finite number."""
+    return F.coalesce(F.forall("features", lambda x: F.abs(x) < F.lit(float("inf"))), F.lit(False))
+
+
 @dataclass
 class NearestNeighbour:
     """A fitted model: `train` has one row per distinct vector (features, id, label)."""
 
     train: DataFrame
 
+    def is_table(self) -> bool:
+        """Whether `prediction` can hold the rows in every worker."""
+        return self.train.count() <= TABLE_ROWS
+
     def predict(self, df: DataFrame, output: str = "prediction") -> DataFrame:
         """`df`, which has an array column `features`, with the label of the nearest row.
 
         A null vector, or a model without rows, gives a null label.
         """
-        return df.withColumn(output, self.prediction(df.sparkSession))
+        if self.is_table():
+            return df.withColumn(output, self.prediction(df.sparkSession))
+        df = written(df, "asking")
+        vector = F.col("features").cast("array<double>")
+        asked = df.where(F.col("features").isNotNull()).select(vector.alias("features")).distinct()
+        answers = self._answers(written(asked, "asked")).select(F.col("features").alias("_asked"), F.col("label").alias(output))
+        # Files hold vectors of few distinct values in far less room than memory does: never broadcast.
+        return df.join(answers.hint("merge"), vector == F.col("_asked"), "left").drop("_asked")
 
     def prediction(self, spark: SparkSession) -> Column:
-        """The label as a column: one worker of a task answers several such columns of one step."""
+        """The label as a column, from a small table: one worker of a task answers several such columns of one step."""
         ship_package(spark)
         table = self.train.orderBy("id").select("features", "label").toPandas()
         shipped = spark.sparkContext.broadcast(
@@ -90,19 +138,58 @@ class NearestNeighbour:
 
         return nearest_label(F.col("features").cast("array<double>"))
 
+    def _answers(self, asked: DataFrame) -> DataFrame:
+        """(features, label) for the distinct vectors `asked`, by a join and by blocks."""
+        ship_package(asked.sparkSession)
+        # An equal row is the nearest, unless a value somewhere is no finite number.
+        equal = F.lit(self.train.where(~_finite()).isEmpty()) & _finite()
+        rows = self.train.select(F.col("features").alias("_row"), "label", F.lit(True).alias("_met"))
+        met = asked.join(rows.hint("merge"), equal & (F.col("features") == F.col("_row")), "left")
+        numbered = met.select("features", "label", "_met", F.monotonically_increasing_id().alias("query"))
+        met = written(numbered, "met")
+        rest = met.where("_met IS NULL").select("features", "query")
+        row_blocks, query_blocks = (-(-side.count() // BLOCK_ROWS) for side in (self.train, rest))
+
+        def block(blocks: int) -> Column:
+            return F.pmod(F.xxhash64("features"), F.lit(max(1, blocks))).cast("int")
+
+        def each(blocks: int) -> Column:
+            return F.explode(F.sequence(F.lit(0), F.lit(max(1, blocks) - 1)))
+
+        place = (F.col("row_block") * F.lit(max(1, query_blocks)) + F.col("query_block")).alias("place")
+        sides = [
+            side.select("*", own.alias(f"{name}_block"), every.alias(f"{other}_block"), F.lit(asks).alias("asks"))
+            for side, own, every, name, other, asks in (
+                (self.train, block(row_blocks), each(query_blocks), "row", "query", False),
+                (rest, block(query_blocks), each(row_blocks), "query", "row", True),
+            )
+        ]
+        both = sides[0].unionByName(sides[1], allowMissingColumns=True).select(place, "asks", "id", "query", "label", "features")
+        kind = self.train.schema["id"].dataType.simpleString()
+        near = (
+            both.repartitionById(max(1, row_blocks) * max(1, query_blocks), F.col("place"))
+            .sortWithinPartitions("asks", "id")
+            .mapInArrow(_meet, f"query long, distance double, id {kind}, label string")
+        )
+        best = near.groupBy("query").agg(F.min(F.struct("distance", "id", "label")).alias("found"))
+        found = rest.join(best.hint("merge"), "query").select("features", F.col("found.label").alias("label"))
+        return written(met.where("_met").select("features", "label").unionByName(found), "answers")
+
 
 def fit_nearest(
     train: DataFrame,
     features: str = "features",
     label: str = "label",
     key: str = "id",
-    max_train_rows: int = C.TRAINING_CAP,
+    max_train_rows: int | None = None,
 ) -> NearestNeighbour:
-    """A model of at most `max_train_rows` rows, the first in hash order of `key`.
+    """A model of all rows, or of at most `max_train_rows`, the first in hash order of `key`.
 
     Rows without a vector teach nothing. Repeats of a vector are dropped, the smallest id kept.
     """
-    some = cap_rows(train.where(F.col(features).isNotNull()), max_train_rows, key)
+    some = train.where(F.col(features).isNotNull())
+    if max_train_rows is not None:
+        some = cap_rows(some, max_train_rows, key)
     distinct = (
         some.select(
             F.col(features).cast("array<double>").alias("features"),

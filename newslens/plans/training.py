@@ -37,9 +37,10 @@ from newslens.session import enable_checkpoints, written
 # Trees grow until pure, as far as Spark allows; at most one leaf for each training row.
 _MAX_DEPTH = 30
 _MAX_BINS = 128
-# Training rows are bounded, so their partitions are a fixed number: by a hash of the link and in
-# its order, as bagging draws per partition.
+# Partitions of the training rows follow from their number alone: by a hash of the link and in its order, as
+# bagging draws per partition.
 _TRAIN_PARTITIONS = 4
+_PARTITION_ROWS = 20_000
 _BOOSTED = Settings(rounds=100, depth=6, rate=0.3, penalty=1.0)
 
 
@@ -124,23 +125,21 @@ def fit_models(
     train: DataFrame,
     voters: Iterable[str] = C.VOTERS,
     parallelism: int = 4,
-    max_train_rows: int = C.TRAINING_CAP,
 ) -> ModelSet:
-    """Fits each voter on (link, label, features), on at most `max_train_rows` labelled rows.
+    """Fits each voter on (link, label, features), on all labelled rows that have a vector.
 
-    The bound holds for all voters: it keeps trees, which grow until pure, and the table of the
-    nearest-neighbour voter small enough for the driver and every executor. Of more rows the first in hash
-    order are taken. Every fit passes over its rows many times, so they are written to the shared
+    Every fit passes over its rows many times, so they are written to the shared
     folder once, as vectors; fits run side by side, as each alone leaves executors idle between its
-    steps.
+    steps. Trees grow until pure and are held by the driver, as Spark's are: their nodes grow with the rows.
     """
     voters = list(voters)
     spark = train.sparkSession
     enable_checkpoints(spark)
     usable = train.where(F.col("label").isNotNull() & F.col("features").isNotNull())
-    known = written(with_vector(cap_rows(usable, max_train_rows)), "training")
+    known = written(with_vector(usable), "training")
     count = known.count()
-    known = known.repartition(_TRAIN_PARTITIONS, "link").sortWithinPartitions("link")
+    partitions = max(_TRAIN_PARTITIONS, -(-count // _PARTITION_ROWS))
+    known = known.repartition(partitions, "link").sortWithinPartitions("link")
     indexer = StringIndexer(
         inputCol="label", outputCol="index", stringOrderType="alphabetAsc"
     ).fit(known)
@@ -149,7 +148,7 @@ def fit_models(
 
     def fit(name: str):
         if name == "knn":
-            return fit_nearest(known, key="link", max_train_rows=max_train_rows)
+            return fit_nearest(known, key="link")
         if name == "xgb":
             return fit_boosted(known, _BOOSTED)
         if name == "sgd":
@@ -173,12 +172,19 @@ def predict_wide(models: ModelSet, df: DataFrame) -> DataFrame:
     """
     names = F.array(*[F.lit(label) for label in models.labels])
     kept = df.columns
+    # A nearest-neighbour table too large for the workers answers by joins.
+    apart = {f"_{n}": m for n, m in models.fitted.items() if isinstance(m, NearestNeighbour) and not m.is_table()}
+    for name, model in apart.items():
+        df = model.predict(df, name)
     # Models that work in Python share one step, and so one worker of a task.
-    python = {f"_{n}": m.prediction(df.sparkSession) for n, m in models.fitted.items() if isinstance(m, NearestNeighbour | BoostedTrees)}
+    python = {
+        f"_{n}": m.prediction(df.sparkSession)
+        for n, m in models.fitted.items() if isinstance(m, NearestNeighbour | BoostedTrees) and f"_{n}" not in apart
+    }
     out = with_vector(df.withColumns(python))
     votes = []
     for name, model in models.fitted.items():
-        if f"_{name}" in python:
+        if f"_{name}" in python or f"_{name}" in apart:
             vote = F.col(f"_{name}")
         elif isinstance(model, LinearModel):
             out = model.predict(out, f"_{name}")
@@ -206,9 +212,12 @@ def accuracy_table(models: ModelSet, test: DataFrame) -> DataFrame:
 
 
 def training_set(
-    features: DataFrame, labels: DataFrame, cap: int | None = C.TRAINING_CAP
+    features: DataFrame, labels: DataFrame, cap: int | None = None
 ) -> DataFrame:
-    """(link, label, features, is_test), written to the shared folder; unlabelled rows dropped."""
+    """(link, label, features, is_test), written to the shared folder; unlabelled rows dropped.
+
+    All rows, unless the caller asks for the first `cap` in hash order.
+    """
     labelled = written(label_features(assemble(features), labels), "labelled")
     if cap is not None:
         labelled = cap_rows(labelled, cap)
@@ -219,7 +228,7 @@ def train_models(
     features: DataFrame,
     labels: DataFrame,
     voters: Iterable[str] = C.VOTERS,
-    cap: int | None = C.TRAINING_CAP,
+    cap: int | None = None,
     parallelism: int = 4,
 ) -> ModelSet:
     """Split, fit and measure: the model set that scoring needs."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from newslens import constants as C
 from newslens.functions.lexicon import lexicon_table
+from newslens.operators import nearest
 from newslens.operators.boosting import Settings
 from newslens.plans import scoring, training
 
@@ -103,6 +104,25 @@ def test_accuracy_table_flags_the_unreported_model(spark, models):
     assert {r.model: r.reported for r in table} == {m: m != "sgd" for m in QUICK}
 
 
+def test_every_labelled_row_is_learned_from(spark):
+    n = C.TRAINING_CAP + 500
+    features = F.array(*[F.floor(F.col("id") / 10**j) % 10 for j in range(5)])
+    label = F.when(F.col("id") % 4 == 0, "fake").otherwise("real")
+    rows = spark.range(n).select(F.concat(F.lit("l"), "id").alias("link"), label.alias("label"), features.alias("features"))
+    models = training.fit_models(rows, ["knn", "naiveBayes"])
+    assert models.fitted["knn"].train.count() == n
+    means = rows.groupBy("label").agg(F.avg(F.col("features")[3]).alias("mean")).orderBy("label").collect()
+    assert models.fitted["naiveBayes"].theta.toArray()[:, 3] == pytest.approx([r["mean"] for r in means], abs=1e-12)
+
+
+def test_large_tables_vote_as_small_ones(spark, models, monkeypatch):
+    features, _ = made_features(spark)
+    vectors = training.assemble(features)
+    before = sorted(training.predict_all(models, vectors).collect())
+    monkeypatch.setattr(nearest, "TABLE_ROWS", 10)
+    assert sorted(training.predict_all(models, vectors).collect()) == before
+
+
 def test_training_cap(spark):
     features, labels = made_features(spark)
     assert training.training_set(features, labels, cap=50).count() == 50

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newslens.functions.lexicon import lexicon_table
-from newslens.operators import accounts, histograms, sampling, skew, votes
+from newslens.operators import accounts, histograms, nearest, sampling, skew, votes
 from newslens.operators.dedupe import dedupe_posts, dedupe_users
 from newslens.operators.labels import label_features
 from newslens.operators.nearest import fit_nearest
@@ -332,6 +332,27 @@ def test_nearest_on_real_valued_vectors(spark):
     assert {r.prediction for r in empty.predict(asked).collect()} == {None}
 
 
+def test_nearest_of_a_large_table_meets_in_blocks(spark, monkeypatch):
+    """The same labels as from the table that every worker holds, whatever the vectors hold."""
+    rng = random.Random(7)
+    vec = lambda: [float(rng.randrange(5)) for _ in range(4)]
+    train = [(2**60 + i, vec(), f"c{i}") for i in range(300)] + [(None, [9.0, 9.0, 9.0, 9.5], "null id"), (7, [8.0] * 4, None)]
+    asked = [(f"q{i}", [x + rng.choice([0, 0, 0.5]) for x in vec()]) for i in range(200)]
+    asked += [("hot", [9.0] * 4)] * 30 + [("none", None), ("far", [8.5, 8.0, 8.0, 8.0]), ("odd", [float("nan"), 0.0, 0.0, 0.0])]
+    schema = "id bigint, features array<double>, label string"
+    queries = spark.createDataFrame(asked, "link string, features array<double>")
+    for more in ([], [(2**61 + 1, [float("nan"), 1.0, 1.0, 1.0], "odd"), (2**61, [1.0, float("nan"), 1.0, 1.0], "first odd")]):
+        model = fit_nearest(spark.createDataFrame(train + more, schema))
+        table = sorted(model.predict(queries).select("link", "prediction").collect(), key=repr)
+        assert "MapInArrow" not in model.predict(queries)._jdf.queryExecution().toString()
+        with monkeypatch.context() as small:
+            small.setattr(nearest, "TABLE_ROWS", 20)
+            small.setattr(nearest, "BLOCK_ROWS", 50)
+            blocks = model.predict(queries)
+            assert blocks.columns == ["link", "features", "prediction"]
+            assert sorted(blocks.select("link", "prediction").collect(), key=repr) == table
+
+
 def made_votes(spark, counts):
     data = [
         (link, model, label)
