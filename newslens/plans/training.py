@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from newslens import constants as C
 from newslens.operators.boosting import BoostedTrees, Settings, fit_boosted
+from newslens.operators.forest import ForestParts, fit_parts, trees_at_once
 from newslens.operators.labels import label_features
 from newslens.operators.linear_sgd import LinearModel, fit_linear
 from newslens.operators.nearest import NearestNeighbour, fit_nearest
@@ -82,14 +83,15 @@ class ModelSet:
     """Fitted models by voter name, the labels they predict, and their hold-out accuracy."""
 
     labels: list[str]
-    fitted: dict[str, Model | NearestNeighbour | BoostedTrees | LinearModel]
+    fitted: dict[str, Model | NearestNeighbour | BoostedTrees | LinearModel | ForestParts]
     accuracy: dict[str, float] = field(default_factory=dict)
 
     def save(self, path: str) -> None:
         """Into a folder that holds no model set yet; an existing one raises."""
         spark = SparkSession.active()
         kinds = {name: type(model).__name__ for name, model in self.fitted.items()}
-        facts = {"labels": self.labels, "models": kinds, "accuracy": self.accuracy}
+        parts = {name: len(model.paths) for name, model in self.fitted.items() if isinstance(model, ForestParts)}
+        facts = {"labels": self.labels, "models": kinds, "accuracy": self.accuracy, "parts": parts}
         text = spark.range(0, 1, 1, 1).select(F.lit(json.dumps(facts)).alias("value"))
         text.write.text(f"{path}/facts")
         for name, model in self.fitted.items():
@@ -97,6 +99,8 @@ class ModelSet:
                 model.train.write.parquet(f"{path}/{name}")
             elif isinstance(model, BoostedTrees | LinearModel):
                 model.save(spark, f"{path}/{name}")
+            elif isinstance(model, ForestParts):
+                model.save(f"{path}/{name}")
             else:
                 model.write().save(f"{path}/{name}")
 
@@ -111,6 +115,8 @@ class ModelSet:
                 fitted[name] = BoostedTrees.load(spark, f"{path}/{name}", facts["labels"])
             elif kind == LinearModel.__name__:
                 fitted[name] = LinearModel.load(spark, f"{path}/{name}", facts["labels"])
+            elif kind == ForestParts.__name__:
+                fitted[name] = ForestParts.load(f"{path}/{name}", facts["labels"], facts["parts"][name])
             else:
                 fitted[name] = _MODEL_CLASSES[kind].load(f"{path}/{name}")
         return cls(facts["labels"], fitted, facts["accuracy"])
@@ -130,7 +136,7 @@ def fit_models(
 
     Every fit passes over its rows many times, so they are written to the shared
     folder once, as vectors; fits run side by side, as each alone leaves executors idle between its
-    steps. Trees grow until pure and are held by the driver, as Spark's are: their nodes grow with the rows.
+    steps. Trees grow until pure and the driver holds those that it grows, so a forest of many rows is grown in parts.
     """
     voters = list(voters)
     spark = train.sparkSession
@@ -153,6 +159,8 @@ def fit_models(
             return fit_boosted(known, _BOOSTED)
         if name == "sgd":
             return fit_linear(known)
+        if name == "randomForest" and trees_at_once(count) < C.FOREST_TREES:
+            return fit_parts(estimators[name], rows, list(indexer.labels), trees_at_once(count))
         model = estimators[name].fit(rows)
         for output in ("rawPredictionCol", "probabilityCol"):
             if model.hasParam(output):
@@ -172,8 +180,11 @@ def predict_wide(models: ModelSet, df: DataFrame) -> DataFrame:
     """
     names = F.array(*[F.lit(label) for label in models.labels])
     kept = df.columns
-    # A nearest-neighbour table too large for the workers answers by joins.
-    apart = {f"_{n}": m for n, m in models.fitted.items() if isinstance(m, NearestNeighbour) and not m.is_table()}
+    # A nearest-neighbour table too large for the workers answers by joins, a large forest part by part.
+    apart = {
+        f"_{n}": m for n, m in models.fitted.items()
+        if isinstance(m, ForestParts) or isinstance(m, NearestNeighbour) and not m.is_table()
+    }
     for name, model in apart.items():
         df = model.predict(df, name)
     # Models that work in Python share one step, and so one worker of a task.

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from newslens import constants as C
 from newslens.functions.lexicon import lexicon_table
-from newslens.operators import nearest
+from newslens.operators import forest, nearest
 from newslens.operators.boosting import Settings
 from newslens.plans import scoring, training
 
@@ -123,6 +123,27 @@ def test_large_tables_vote_as_small_ones(spark, models, monkeypatch):
     assert sorted(training.predict_all(models, vectors).collect()) == before
 
 
+def test_a_forest_of_many_rows_is_grown_in_parts(spark, monkeypatch, tmp_path):
+    features, labels = made_features(spark, 90)
+    rows = training.training_set(features, labels)
+    train, test = rows.where(~F.col("is_test")), rows.where("is_test")
+    monkeypatch.setattr(forest, "WHOLE_ROWS", 10)
+    monkeypatch.setattr(forest, "PART_ROWS", 40 * train.count())
+    fitted = training.fit_models(train, ["naiveBayes", "randomForest"])
+    parts = [forest.RandomForestClassificationModel.load(p) for p in fitted.fitted["randomForest"].paths]
+    assert [p.getNumTrees for p in parts] == [40, 40, 20]
+    assert len({t.toDebugString for p in parts for t in p.trees}) > 60
+    fitted.save(str(tmp_path / "models"))
+    again = training.ModelSet.load(spark, str(tmp_path / "models"))
+    found = sorted(training.predict_all(fitted, test).collect())
+    assert sorted(training.predict_all(again, test).collect()) == found
+    assert sum(r.label == r.prediction for r in found) / len(found) > 0.85
+    # The label of most votes over all trees.
+    vector = training.with_vector(test).select("link", "vector").collect()
+    votes = {r.link: sum(p.predictRaw(r.vector).toArray() for p in parts) for r in vector}
+    assert {r.link: fitted.labels[votes[r.link].argmax()] for r in found} == {r.link: r.prediction for r in found if r.model == "randomForest"}
+
+
 def test_training_cap(spark):
     features, labels = made_features(spark)
     assert training.training_set(features, labels, cap=50).count() == 50
