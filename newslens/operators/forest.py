@@ -1,7 +1,7 @@
 """A random forest that is never held whole: it is grown, stored and asked in parts of some trees each.
 
 The driver holds the trees that it grows, whose nodes grow with the rows. So as many trees are grown at a time as
-rows allow, every part from its own seed, and written to the shared folder. Votes of a row are added up part after
+rows allow, and after the first part as the nodes of its trees allow, every part from its own seed, and written to the shared folder. Votes of a row are added up part after
 part; the label is that of all trees together.
 """
 
@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from newslens import constants as C
 from newslens.session import fresh_path, written
 
-# Of so many rows all trees are grown at once; of more rows, as many trees as make PART_ROWS rows times trees.
+# Of so many rows all trees are grown at once; of more rows, first as many trees as make PART_ROWS rows times trees,
+# then as many as make PART_NODES nodes, by the mean of the part before.
 WHOLE_ROWS = 10_460
 PART_ROWS = 500_000
+PART_NODES = 300_000
 # Spark's bagging adds the number of a partition to the seed: those of the parts lie further apart.
 _SEED_STEP = 1_000_003
 
@@ -55,17 +57,21 @@ class ForestParts:
 
 
 def trees_at_once(rows: int) -> int:
-    """How many trees a part has; all of them while rows are few."""
+    """How many trees the first part has; all of them while rows are few."""
     return C.FOREST_TREES if rows <= WHOLE_ROWS else min(C.FOREST_TREES, max(1, PART_ROWS // rows))
 
 
 def fit_parts(forest: RandomForestClassifier, train: DataFrame, labels: list[str], size: int) -> ForestParts:
-    """The trees that `forest` asks for, at most `size` at a time."""
+    """The trees that `forest` asks for, `size` of them first."""
     spark: SparkSession = train.sparkSession
-    paths = []
-    for number, start in enumerate(range(0, forest.getNumTrees(), size)):
-        trees = min(size, forest.getNumTrees() - start)
-        part = forest.copy({forest.numTrees: trees, forest.seed: forest.getSeed() + _SEED_STEP * number})
+    paths: list[str] = []
+    left = forest.getNumTrees()
+    while left:
+        trees = min(size, left)
+        part = forest.copy({forest.numTrees: trees, forest.seed: forest.getSeed() + _SEED_STEP * len(paths)})
         paths.append(fresh_path(spark, "forest"))
-        part.fit(train).write().save(paths[-1])
+        model = part.fit(train)
+        model.write().save(paths[-1])
+        left -= trees
+        size = max(1, PART_NODES * trees // model.totalNumNodes)
     return ForestParts(labels, paths)
